@@ -101,20 +101,20 @@ def _describe(k: int, t: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # equal sets of one task need tiles only once
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            named = batch.column(0).is_valid().to_pylist()
             data, offsets = utf8(batch.column(1))
             for at, part, ends in chunks(data, offsets):
                 n, f1, f2, maps, keys = [], [], [], [], []
-                for u in shingle_sets(part, ends, k):
+                for i, u in enumerate(shingle_sets(part, ends, k)):
                     a, b = int(np.add.reduce(mix(u))), int(np.bitwise_xor.reduce(mix(u ^ np.uint64(0xA5A5A5A5))))
-                    new = len(u) > 0 and (a, b) not in seen
+                    new = len(u) > 0 and named[at + i] and (a, b) not in seen
                     if new:
                         seen.add((a, b))
                     n.append(len(u)), f1.append(a), f2.append(b)
                     maps.append(bitmap(u) if new else None)
                     keys.append(tile_keys(u, table).tobytes() if new else None)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at : at + len(n)], pa.int64()), pa.array(n, pa.int64()), *(pa.array(np.array(f, np.uint64).view(np.int64)) for f in (f1, f2)), pa.array(maps, pa.binary()), pa.array(keys, pa.binary())],
+                    [batch.column(0).slice(at, len(n)), pa.array(n, pa.int64()), *(pa.array(np.array(f, np.uint64).view(np.int64)) for f in (f1, f2)), pa.array(maps, pa.binary()), pa.array(keys, pa.binary())],
                     ["doc_id", "n", "f1", "f2", "bitmap", "keys"],
                 )
 
@@ -240,7 +240,8 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
     ``threshold`` is a fraction; documents link when their sets' Jaccard similarity reaches it.
     A null or empty text has an empty set and links with nothing.  A text of fewer than k words
     is one shingle.  Rows that repeat a doc_id each give a row; they are expected to repeat the
-    text too.  A null doc_id gives no links and a null component.  Other columns are ignored; an
+    text too.  A null doc_id gives no links: the component is that of its
+    copies, or null.  Other columns are ignored; an
     empty table gives an empty result."""
     t = Fraction(*threshold)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -209,7 +209,7 @@ def _cut(window: int):
         earliest = _unpack(replies, "docs", np.int64)[0]
         order = np.argsort(prints)
         prints, earliest = prints[order], earliest[order]
-        ids = docs.column("doc_id").to_numpy(zero_copy_only=False)
+        ids = docs.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy()  # nothing is smaller
         missing = docs.column("doc_id").is_null().to_numpy()
         nulls = docs.column("text").is_null().to_numpy()
         data, offsets = utf8(docs.column("text"))
