@@ -84,7 +84,7 @@ def _probes(block: int, bits: int):
                 entry |= several.astype(np.uint32)
                 where = key[run] >> np.uint64(_FRAGMENT)
                 cut = _runs(where)
-                packed = [entry[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(entry)), strict=True)]
+                packed = [entry[a:b].tobytes() for a, b in zip(cut, np.append(cut, len(entry))[1:], strict=True)]
                 bucket = (where[cut] & np.uint64((1 << bits) - 1)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array((where[cut] >> np.uint64(bits)).astype(np.int64)), pa.array(packed, pa.binary())], ["bucket", "grp", "packed"])
 
@@ -115,7 +115,7 @@ def _hits(key: tuple, rows: pa.Table) -> pa.Table:
     both = np.unique((g.astype(np.uint64) << np.uint64(32)) | v.astype(np.uint64))
     g, v = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     cut = _runs(g)
-    packed = [v[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(v)), strict=True)]
+    packed = [v[a:b].tobytes() for a, b in zip(cut, np.append(cut, len(v))[1:], strict=True)]
     return pa.table({"bucket": pa.array([key[0].as_py()] * len(cut), pa.int64()), "grp": g[cut], "hits": pa.array(packed, pa.binary())})
 
 
@@ -153,7 +153,7 @@ def _windows(window: int, block: int, bits: int):
         low, high, h = np.minimum.reduceat(d, at), np.maximum.reduceat(d, at), h[at]
         where = (h >> np.uint64(64 - bits)).astype(np.int64)
         cut = _runs(where)
-        spans = list(zip(cut, np.append(cut[1:], len(h)), strict=True))
+        spans = list(zip(cut, np.append(cut, len(h))[1:], strict=True))
         return pa.table(
             [pa.array(where[cut]), pa.array([key[0].as_py()] * len(cut), pa.int64()), *(pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (h, low, low != high))],
             names=names,
@@ -181,7 +181,7 @@ def _earliest(key: tuple, rows: pa.Table) -> pa.Table:
     order = np.argsort(g, kind="stable")
     g, h, least = g[order], h[order], least[order]
     cut = _runs(g)
-    spans = list(zip(cut, np.append(cut[1:], len(g)), strict=True))
+    spans = list(zip(cut, np.append(cut, len(g))[1:], strict=True))
     return pa.table({"grp": g[cut], "prints": pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()), "docs": pa.array([least[a:b].tobytes() for a, b in spans], pa.binary())})
 
 
