@@ -164,8 +164,8 @@ def _pieces(path: str, end_id: int, capacity: int):
         encoder, part = Encoder.of(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)  # pieces of each length so far in this task
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                cut = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 512):
+                cut = batch.slice(at, 512)
                 rows: list[tuple] = []
                 for doc, ids in zip(cut.column(0).to_pylist(), encoder.encode([t or "" for t in cut.column(1).to_pylist()]), strict=True):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")

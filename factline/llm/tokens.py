@@ -21,7 +21,7 @@ from factline.llm._common import _power, mix
 MEMORY = 1_500_000
 _LIMIT = 0x300
 #: Characters cut at once.
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
 _workers: dict[str, Encoder] = {}
 
 
@@ -68,7 +68,8 @@ class Encoder:
         return _workers[path]
 
     def _reset(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # hashes, sorted
+        self.number = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 20, np.uint32)
         self.at = np.zeros(1 << 18, np.int64)
         self.n = np.zeros(1 << 18, np.int32)
@@ -169,14 +170,18 @@ class Encoder:
         values, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known) + len(values) > MEMORY:
             self._reset()
-        get = self.known.get
-        number = np.array([get(v, -1) for v in values.tolist()], np.int64)
+        place = np.searchsorted(self.known, values)
+        number = np.full(len(values), -1, np.int64)
+        if len(self.known):
+            near = np.minimum(place, len(self.known) - 1)
+            number = np.where(self.known[near] == values, self.number[near], -1).astype(np.int64)
         new = np.flatnonzero(number < 0)
         if len(new):
             where = first[new]
             text = data.astype("<u4").tobytes()
             words = [text[4 * a : 4 * b].decode("utf-32-le", "surrogatepass") for a, b in zip(start[where].tolist(), end[where].tolist(), strict=True)]
-            number[new] = self._learn(words, values[new])
+            number[new] = self._learn(words)
+            self.known, self.number = np.insert(self.known, place[new], values[new]), np.insert(self.number, place[new], number[new])
         return number[inverse]
 
     def _lengths_and_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +216,7 @@ class Encoder:
         flat[owner] = np.concatenate(alone)
         return n, flat
 
-    def _learn(self, words: list[str], keys: np.ndarray) -> np.ndarray:
+    def _learn(self, words: list[str]) -> np.ndarray:
         n, flat = self._lengths_and_ids(words)
         base = len(self.known)
         while base + len(words) > len(self.at):
@@ -223,7 +228,6 @@ class Encoder:
         self.at[base : base + len(words)] = self.used + np.cumsum(n) - n
         self.used += len(flat)
         numbers = np.arange(base, base + len(words))
-        self.known.update(zip(keys.tolist(), numbers.tolist(), strict=True))
         return numbers
 
 
@@ -232,8 +236,8 @@ def _encode(path: str, end_id: int, name: str):
         encoder = Encoder.of(path)
         for batch in batches:
             text = batch.schema.get_field_index("text")
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 ids = encoder.encode([t or "" for t in part.column(text).to_pylist()])
                 packed = pa.array([np.append(x, np.uint32(end_id)).astype("<u4").tobytes() for x in ids], pa.binary())
                 yield part.set_column(text, pa.field(name, pa.binary()), packed)
