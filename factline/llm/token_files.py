@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from factline.llm._common import release, stage
-from factline.llm.tokens import encode_documents
+from factline.llm.tokens import encode_documents, id_type
 
 LANES = 1024
 INTERVAL = 256
@@ -172,18 +172,21 @@ class Block:
 # --- Spark -------------------------------------------------------------------------------
 
 
-def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            ids = np.frombuffer(b"".join(batch.column(0).slice(at, 1024).to_pylist()), np.uint32)
-            n = np.bincount(ids, minlength=len(total))
-            total = np.r_[total, np.zeros(len(n) - len(total), np.int64)] + n if len(n) > len(total) else total + n
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["token", "n"])
+def _count_tokens(dtype: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                ids = np.frombuffer(b"".join(batch.column(0).slice(at, 1024).to_pylist()), dtype)
+                n = np.bincount(ids, minlength=len(total))
+                total = np.r_[total, np.zeros(len(n) - len(total), np.int64)] + n if len(n) > len(total) else total + n
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["token", "n"])
+
+    return run
 
 
-def _write(table_bytes: bytes):
+def _write(table_bytes: bytes, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, part, block = Table(table_bytes), TaskContext.get().partitionId(), 0
         docs: list[int | None] = []
@@ -202,7 +205,7 @@ def _write(table_bytes: bytes):
         for batch in batches:
             for d, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 docs.append(d)
-                ids.append(np.frombuffer(x.as_py(), np.uint32))
+                ids.append(np.frombuffer(x.as_py(), dtype))
                 size += len(ids[-1])
                 if size >= BLOCK_TOKENS:
                     yield flush()
@@ -235,18 +238,18 @@ def _without_ids(read):
     return lambda batches: (b.select(range(6)) for b in read(batches))
 
 
-def write_token_file(tokens: DataFrame, path: str) -> None:
-    """Writes ``tokens`` (doc_id, ids: little-endian uint32) as a file at ``path``.
+def write_token_file(tokens: DataFrame, path: str, dtype: str = "<u4") -> None:
+    """Writes ``tokens`` (doc_id, ids: little-endian ids of ``dtype``) as a file at ``path``.
 
     Documents with a null doc_id come first; equal doc_ids keep together.  An empty table gives
     a file without blocks.  ``tokens`` is read three times: pass a stored table."""
     spark = tokens.sparkSession
-    counts = tokens.select("ids").mapInArrow(_count_tokens, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = tokens.select("ids").mapInArrow(_count_tokens(dtype), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = counts.collect()  # at most one row a vocabulary entry
     table = make_table(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64))
     spark.createDataFrame([(bytearray(table),)], "data binary").coalesce(1).write.parquet(f"{path}/table")
     ordered = tokens.select("doc_id", "ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    blocks = ordered.mapInArrow(_write(table), "part long, block long, n_tokens long, data binary")
+    blocks = ordered.mapInArrow(_write(table, dtype), "part long, block long, n_tokens long, data binary")
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
@@ -268,7 +271,8 @@ def read_token_file(spark: SparkSession, path: str, with_ids: bool = True) -> Da
 
 def encode_corpus(documents: DataFrame, tokenizer: str, path: str, end_id: int = 0) -> None:
     """Tokenizes whole texts (null: empty), adds ``end_id`` to each document, writes the file."""
-    tokens = stage(encode_documents(documents, tokenizer, end_id), "tokens")
+    dtype = id_type(tokenizer)
+    tokens = stage(encode_documents(documents, tokenizer, end_id, dtype), "tokens")
     release()
-    write_token_file(tokens, path)
+    write_token_file(tokens, path, dtype)
     release()

@@ -231,7 +231,12 @@ class Encoder:
         return numbers
 
 
-def _encode(path: str, end_id: int, name: str):
+def id_type(path: str) -> str:
+    """Two bytes an id where the vocabulary allows, else four."""
+    return "<u2" if Encoder.of(path).library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
+def _encode(path: str, end_id: int, name: str, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
@@ -239,15 +244,15 @@ def _encode(path: str, end_id: int, name: str):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids = encoder.encode([t or "" for t in part.column(text).to_pylist()])
-                packed = pa.array([np.append(x, np.uint32(end_id)).astype("<u4").tobytes() for x in ids], pa.binary())
+                packed = pa.array([np.append(x, np.uint32(end_id)).astype(dtype).tobytes() for x in ids], pa.binary())
                 yield part.set_column(text, pa.field(name, pa.binary()), packed)
 
     return run
 
 
-def encode_documents(documents: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id, ids: little-endian unsigned 32-bit token ids of the whole text, then ``end_id``.
+def encode_documents(documents: DataFrame, path: str, end_id: int, dtype: str = "<u4") -> DataFrame:
+    """doc_id, ids: little-endian unsigned token ids (32-bit if not said otherwise) of the whole text, then ``end_id``.
 
     A null or empty text has only the end id.  Other columns are ignored."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_encode(path, end_id, "ids"), "doc_id long, ids binary")
+    return docs.mapInArrow(_encode(path, end_id, "ids", dtype), "doc_id long, ids binary")
