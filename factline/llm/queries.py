@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import decontaminate, html_extract, jaccard_join, language_id, packing, quality, substring_dedup, token_counts, token_files, tokens, url_filters
-from factline.llm._common import release, shared_dir, stage
+from factline.llm import decontaminate, html_extract, jaccard_join, language_id, packing, quality, substring_dedup, token_counts, token_files, url_filters
+from factline.llm._common import shared_dir
 
 #: The end-of-document id that no text can give in op10's vocabulary.
 END_OF_TEXT = 50256
@@ -84,14 +84,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens of every document, found in the flat files alone; ordinals name the documents."""
-    docs = table(spark, sf_dir, "documents")
     path = f"{shared_dir(spark)}/flat-{uuid.uuid4().hex}"
-    ids = stage(tokens.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), END_OF_TEXT), "tokens")
-    token_counts.write_flat(ids, path)
-    release()
-    flat = spark.read.schema("file long, block long, data binary").parquet(path)
-    counts = token_counts.count_tokens(flat, END_OF_TEXT)
-    return counts.join(token_counts.ordinals(docs), "ordinal").select("doc_id", "ordinal", "start", "n_tokens")
+    dtype = token_counts.tokenize_flat(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_OF_TEXT, path)
+    flat = spark.read.schema("file long, block long, data binary, docs array<long>").parquet(path)
+    counts = token_counts.count_tokens(flat.filter("data is not null"), END_OF_TEXT, dtype)
+    return counts.join(token_counts.document_order(flat), "ordinal").select("doc_id", "ordinal", "start", "n_tokens")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

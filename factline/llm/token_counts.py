@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from factline.llm.tokens import Encoder, id_type
+
 BLOCK_TOKENS = 1 << 20
 _FLAT = "file long, block long, data binary"
 
@@ -52,11 +54,61 @@ def write_flat(tokens: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -
     ordered.mapInArrow(_flatten(block_tokens), _FLAT).write.option("compression", "uncompressed").parquet(path)
 
 
-def _scan(end_id: int):
+def _tokenize(path: str, end_id: int, dtype: str, block_tokens: int):
+    """(doc_id, text) -> blocks of a flat file, and beside them the order of its documents."""
+    schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("data", pa.binary()), ("docs", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, file, block, lists, rest = Encoder.of(path), TaskContext.get().partitionId(), 0, 0, b""
+        size = np.dtype(dtype).itemsize * block_tokens
+        row = lambda k, data, docs: pa.RecordBatch.from_pylist([{"file": file, "block": k, "data": data, "docs": docs}], schema)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                rest += b"".join(np.append(x, np.uint32(end_id)).astype(dtype).tobytes() for x in ids)
+                yield row(lists, None, part.column(0).to_pylist())
+                lists += 1
+                cut = len(rest) // size * size
+                for k in range(0, cut, size):
+                    yield row(block, rest[k : k + size], None)
+                    block += 1
+                rest = rest[cut:]
+        if rest:
+            yield row(block, rest, None)
+
+    return run
+
+
+def tokenize_flat(documents: DataFrame, tokenizer: str, end_id: int, path: str, block_tokens: int = BLOCK_TOKENS) -> str:
+    """Writes whole texts (null: empty) as flat files, one a task, in the order in which the table is read.
+
+    Nothing is shuffled.  The files have no index; which document stands where in the order is kept
+    in rows of their own (docs) for whoever wants names.  Returns the type of the ids."""
+    dtype = id_type(tokenizer)
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs.mapInArrow(_tokenize(tokenizer, end_id, dtype, block_tokens), f"{_FLAT}, docs array<long>").write.option("compression", "zstd").parquet(path)
+    return dtype
+
+
+def document_order(flat: DataFrame) -> DataFrame:
+    """doc_id, ordinal of every document of the files that tokenize_flat wrote."""
+    lists = flat.filter("docs is not null").select("file", "block", "docs")
+    n = lists.select("file", "block", F.size("docs").cast("long").alias("n"))
+    upto = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    inside = n.withColumn("inside", F.coalesce(F.sum("n").over(upto(W.partitionBy("file").orderBy("block"))), F.lit(0)))
+    files = n.groupBy("file").agg(F.sum("n").alias("f_n"))  # one row a file
+    files = files.withColumn("before", F.coalesce(F.sum("f_n").over(upto(W.orderBy("file"))), F.lit(0)))
+    first = inside.join(files, "file").select("file", "block", (F.col("before") + F.col("inside")).alias("first"))
+    each = lists.join(first, ["file", "block"]).select("first", F.posexplode("docs").alias("k", "doc_id"))
+    return each.select("doc_id", (F.col("first") + F.col("k")).alias("ordinal"))
+
+
+def _scan(end_id: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids = np.frombuffer(batch.column(2)[row].as_py(), np.uint32)
+                ids = np.frombuffer(batch.column(2)[row].as_py(), dtype)
                 at = np.flatnonzero(ids == end_id)
                 last = int(at[-1]) if len(at) else None
                 yield pa.RecordBatch.from_arrays(
@@ -76,13 +128,13 @@ def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(ordinal.as_py() + np.arange(n)), pa.array(start), pa.array(at + 1 - start), pa.array([True] * n)], ["ordinal", "start", "n_tokens", "closed"])
 
 
-def count_tokens(flat: DataFrame, end_id: int) -> DataFrame:
+def count_tokens(flat: DataFrame, end_id: int, dtype: str = "<u4") -> DataFrame:
     """ordinal, start, n_tokens (with the end id), closed: one row a document of a flat file (file, block, data).
 
     Tokens after the last end id make up one more document with closed = false.  Files and
     blocks are taken in their order; a document may run over any number of them.  An empty
     file gives no rows.  ``flat`` is scanned twice: once for the summaries, once for the places."""
-    found = flat.select("file", "block", "data").mapInArrow(_scan(end_id), "file long, block long, n long, ends long, last long, at binary")
+    found = flat.select("file", "block", "data").mapInArrow(_scan(end_id, dtype), "file long, block long, n long, ends long, last long, at binary")
     s = found.select("file", "block", "n", "ends", "last")
     inside, over = W.partitionBy("file").orderBy("block"), W.orderBy("file")
     upto = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
@@ -100,10 +152,3 @@ def count_tokens(flat: DataFrame, end_id: int) -> DataFrame:
     left = total.select("ends", F.coalesce("began", F.lit(0)).alias("start"), (F.col("n") - F.coalesce("began", F.lit(0))).alias("k")).filter("k > 0")
     return closed.unionByName(left.select(F.col("ends").alias("ordinal"), "start", F.col("k").alias("n_tokens"), F.lit(False).alias("closed")))
 
-
-def ordinals(documents: DataFrame) -> DataFrame:
-    """doc_id, ordinal: place of each document in ascending doc_id order (nulls first)."""
-    ids = documents.select("doc_id").repartitionByRange("doc_id").withColumn("part", F.spark_partition_id())
-    ids = ids.withColumn("k", F.row_number().over(W.partitionBy("part").orderBy("doc_id")))
-    before = ids.groupBy("part").count().withColumn("base", F.coalesce(F.sum("count").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    return ids.join(before, "part").select("doc_id", (F.col("base") + F.col("k") - 1).alias("ordinal"))

@@ -249,6 +249,16 @@ def test_token_counts(spark, size, tmp_path):
     assert [(r.ordinal, r.start, r.n_tokens) for r in more] == [(len(lengths), int(ends[-1]), 2)]
 
 
+def test_flat_files_name_every_document(spark, docs, texts, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    dtype = token_counts.tokenize_flat(docs, path, 50256, f"{tmp_path}/flat", 1000)
+    flat = spark.read.parquet(f"{tmp_path}/flat")
+    n = {r.ordinal: r.n_tokens for r in token_counts.count_tokens(flat.filter("data is not null"), 50256, dtype).collect()}
+    got = {r.doc_id: n[r.ordinal] for r in token_counts.document_order(flat).collect()}
+    library = tokens.Encoder(path).library
+    assert got == {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
 def test_language_accuracy_and_undetermined(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = queries.op1_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
@@ -283,7 +293,7 @@ def test_empty_tables(spark, empty, tmp_path):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     results = [
         jaccard_join.jaccard_components(empty), substring_dedup.remove_repeats(empty), decontaminate.find_contamination(empty, benchmark), quality.judge(empty), packing.pack_documents(empty, path),
-        token_files.read_token_file(spark, f"{tmp_path}/none"), language_id.identify(empty, language_id.train(empty)), html_extract.extract_text(pages), token_counts.ordinals(empty),
+        token_files.read_token_file(spark, f"{tmp_path}/none"), language_id.identify(empty, language_id.train(empty)), html_extract.extract_text(pages),
     ]
     assert [r.count() for r in results] == [0] * len(results)
 
