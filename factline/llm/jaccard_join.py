@@ -221,17 +221,41 @@ def _intersect(t: Fraction):
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, t: Fraction) -> DataFrame:
-    """Those of the distinct ``pairs`` (a < b) that link."""
+def _likely(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """Those of the distinct ``pairs`` (a < b) that the bit counts allow."""
     one = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"m_{c}"))
     both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "n_a", "n_b", "m_a", "m_b")
-    likely = stage(both.mapInArrow(_bounded(t), "a long, b long"), "likely")
+    return stage(both.mapInArrow(_bounded(t), "a long, b long"), "likely")
+
+
+def _exact(likely: DataFrame, docs: DataFrame, k: int, t: Fraction) -> DataFrame:
+    """Those of the pairs whose sets link."""
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
     members = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_arrays(k), "doc_id long, members binary")
     members = stage(members.dropDuplicates(["doc_id"]), "members")
     side = lambda c: members.select(F.col("doc_id").alias(c), F.col("members").alias(f"s_{c}"))
     full = likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
-    return stage(full.mapInArrow(_intersect(t), "a long, b long"), "verified")
+    out = stage(full.mapInArrow(_intersect(t), "a long, b long"), "verified")
+    release()
+    return out
+
+
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs whose ends ``comp`` doesn't connect yet."""
+    c = lambda end: comp.select(F.col("id").alias(end), F.col("component").alias(f"c_{end}"))
+    out = pairs.join(c("a"), "a", "left").join(c("b"), "b", "left")
+    return out.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+
+
+def _links(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, t: Fraction, comp: DataFrame | None = None) -> DataFrame:
+    """Links of ``pairs`` that connect all that any of them connects: each set is tried with one partner first,
+    then only pairs that are still apart."""
+    likely = _likely(pairs, sets, t)
+    first = stage(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+    links = _exact(first, docs, k, t)
+    now = components(links if comp is None else links.unionByName(comp.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    rest = stage(_apart(likely.join(first, ["a", "b"], "left_anti"), now), "rest")
+    return links.unionByName(_exact(rest, docs, k, t))
 
 
 def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -266,7 +290,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
         "signatures",
     )
     tried = stage(tiles.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).distinct(), "tried")
-    links = _verify(tried, sets, docs, k, t)
+    links = stage(_links(tried, sets, docs, k, t), "links")
     comp = components(links)
     # tiles that still hold more than one component; of tiles with the same members, one is enough
     members = tiles.select("key", F.col("x").alias("id")).union(tiles.select("key", F.col("p").alias("id"))).distinct()
@@ -286,7 +310,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
     with_tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     dealt = with_tiles.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "doc_id", "comp", "n", "bitmap")
     found = dealt.groupBy("key", "i", "j").applyInArrow(_tile_pairs(t), "a long, b long").distinct()
-    more = _verify(stage(found.join(tried, ["a", "b"], "left_anti"), "found"), sets, docs, k, t)
+    more = stage(_links(stage(found.join(tried, ["a", "b"], "left_anti"), "found"), sets, docs, k, t, comp), "links")
     if more.isEmpty():
         final = comp
     else:
