@@ -11,8 +11,8 @@ its band.  So no similar pair can miss.
 
 In a tile every set is first compared with the tile's smallest id.  Components of those
 links leave few tiles with more than one component; only these are compared pair by pair,
-in sub-tiles of bounded size ordered by set size.  Popcounts of 2048-bit signatures bound
-the overlap from above; the survivors' sorted hash arrays are intersected exactly.
+in sub-tiles of bounded size ordered by set size.  Popcounts of signatures (2048 bits, four a
+member for large sets) bound the overlap from above; the survivors' sorted hash arrays are intersected exactly.
 """
 
 from __future__ import annotations
@@ -90,8 +90,9 @@ def tile_keys(u: np.ndarray, table: list[tuple[int, int, int, int]]) -> np.ndarr
 
 
 def bitmap(u: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(mix(u) >> np.uint64(32)).astype(np.int64) % BITS] = True
+    size = max(BITS, 1 << (4 * len(u) - 1).bit_length()) if len(u) else BITS  # else long sets fill it
+    bits = np.zeros(size, bool)
+    bits[(mix(u) >> np.uint64(32)).astype(np.int64) % size] = True
     return np.packbits(bits).tobytes()
 
 
@@ -160,15 +161,25 @@ def may_link(n1: np.ndarray, n2: np.ndarray, m1: np.ndarray, m2: np.ndarray, t:
     return most * (t.numerator + t.denominator) >= t.numerator * (n1 + n2)
 
 
-def _bitmaps(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+def _bitmap(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint64)
+
+
+def _fold(x: np.ndarray, words: int) -> np.ndarray:
+    """A signature at a smaller size: both sizes are powers of two, so a member's place is taken modulo."""
+    return x if len(x) == words else np.bitwise_or.reduce(x.reshape(-1, words), axis=0)
+
+
+def _allowed(n1: int, n2: int, x: np.ndarray, y: np.ndarray, t: Fraction) -> bool:
+    words = min(len(x), len(y))
+    return bool(may_link(np.array([n1]), np.array([n2]), _fold(x, words)[None], _fold(y, words)[None], t)[0])
 
 
 def _bounded(t: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, n1, n2 = (batch.column(i).to_numpy() for i in range(4))
-            ok = may_link(n1, n2, _bitmaps(batch.column(4)), _bitmaps(batch.column(5)), t) if len(a) else np.zeros(0, bool)
+            ok = np.array([_allowed(p, q, _bitmap(x.as_py()), _bitmap(y.as_py()), t) for p, q, x, y in zip(n1, n2, batch.column(4), batch.column(5), strict=True)], bool)
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], ["a", "b"])
 
     return run
@@ -180,7 +191,8 @@ def _tile_pairs(t: Fraction):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
         tile, ids, comp, n = (rows.column(c).to_numpy() for c in ("tile", "doc_id", "comp", "n"))
-        maps = _bitmaps(pa.concat_arrays(rows.column("bitmap").chunks))
+        maps = [_bitmap(x) for c in rows.column("bitmap").chunks for x in c.to_pylist()]
+        words = np.array([len(x) for x in maps])
         left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
         out = []
         for x in left:
@@ -188,7 +200,11 @@ def _tile_pairs(t: Fraction):
             y = y[comp[y] != comp[x]]
             y = y[np.minimum(n[y], n[x]) * t.denominator >= np.maximum(n[y], n[x]) * t.numerator]
             if len(y):
-                y = y[may_link(np.full(len(y), n[x]), n[y], maps[x][None, :], maps[y], t)]
+                ok = np.zeros(len(y), bool)
+                for size in np.unique(words[y]):  # at one size each
+                    w, these = min(size, words[x]), np.flatnonzero(words[y] == size)
+                    ok[these] = may_link(np.full(len(these), n[x]), n[y[these]], _fold(maps[x], w)[None], np.stack([_fold(maps[i], w) for i in y[these]]), t)
+                y = y[ok]
                 out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
         ab = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
         return pa.table({"a": ab[0], "b": ab[1]})
