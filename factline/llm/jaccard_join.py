@@ -193,6 +193,10 @@ def _tile_pairs(t: Fraction):
         tile, ids, comp, n = (rows.column(c).to_numpy() for c in ("tile", "doc_id", "comp", "n"))
         maps = [_bitmap(x) for c in rows.column("bitmap").chunks for x in c.to_pylist()]
         words = np.array([len(x) for x in maps])
+        place, stacks = np.zeros(len(maps), np.int64), {}
+        for size in np.unique(words):
+            own = np.flatnonzero(words == size)
+            place[own], stacks[size] = np.arange(len(own)), np.stack([maps[i] for i in own])
         left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
         out = []
         for x in left:
@@ -203,7 +207,7 @@ def _tile_pairs(t: Fraction):
                 ok = np.zeros(len(y), bool)
                 for size in np.unique(words[y]):  # at one size each
                     w, these = min(size, words[x]), np.flatnonzero(words[y] == size)
-                    ok[these] = may_link(np.full(len(these), n[x]), n[y[these]], _fold(maps[x], w)[None], np.stack([_fold(maps[i], w) for i in y[these]]), t)
+                    ok[these] = may_link(np.full(len(these), n[x]), n[y[these]], _fold(maps[x], w)[None], np.bitwise_or.reduce(stacks[size][place[y[these]]].reshape(len(these), -1, w), axis=1), t)
                 y = y[ok]
                 out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
         ab = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
