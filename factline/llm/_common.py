@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHUNK_BYTES = 1 << 21
-_staged: list[tuple[SparkSession, str]] = []
+_staged: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,8 +41,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _staged.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _staged[path] = spark
+    out._staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing reads again: what came of them is staged itself."""
+    for df in tables:
+        _delete(df._staged_path)
 
 
 def release() -> None:
@@ -53,13 +61,17 @@ def release() -> None:
         spark.sparkContext._jvm.System.gc()
 
 
+def _delete(path: str) -> None:
+    spark = _staged.pop(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @atexit.register
 def _clean() -> None:
-    for spark, path in _staged:
+    for path in list(_staged):
         try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(path)
         except Exception:  # noqa: BLE001 - the session may be gone already
             return
 

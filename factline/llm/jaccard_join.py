@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factline.llm._common import LOWER, NOT_SPACE, binary, chunks, hash_spans, hash_windows, mix, release, signed, stage, utf8, word_spans
+from factline.llm._common import LOWER, NOT_SPACE, binary, chunks, discard, hash_spans, hash_windows, mix, release, signed, stage, utf8, word_spans
 from factline.llm.components import components
 
 BITS = 2048
 ROUNDS = 4
 TILE = 512
 _BAND = 1.5
-_SET = "doc_id long, n long, f1 long, f2 long, bitmap binary, keys binary"
+_SET = "doc_id long, n long, f1 long, f2 long, bitmap binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -96,39 +96,50 @@ def bitmap(u: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def _describe(k: int, t: Fraction):
-    table = bands(t)
+def _prints(u: np.ndarray) -> tuple[int, int]:
+    return int(np.add.reduce(mix(u))), int(np.bitwise_xor.reduce(mix(u ^ np.uint64(0xA5A5A5A5))))
+
 
+def _describe(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()  # equal sets of one task need tiles only once
+        seen: set[tuple[int, int]] = set()  # equal sets of one task need a signature only once
         for batch in batches:
             named = batch.column(0).is_valid().to_pylist()
             data, offsets = utf8(batch.column(1))
             for at, part, ends in chunks(data, offsets):
-                n, f1, f2, maps, keys = [], [], [], [], []
+                n, f1, f2, maps = [], [], [], []
                 for i, u in enumerate(shingle_sets(part, ends, k)):
-                    a, b = int(np.add.reduce(mix(u))), int(np.bitwise_xor.reduce(mix(u ^ np.uint64(0xA5A5A5A5))))
-                    new = len(u) > 0 and named[at + i] and (a, b) not in seen
+                    both = _prints(u)
+                    new = len(u) > 0 and named[at + i] and both not in seen
                     if new:
-                        seen.add((a, b))
-                    n.append(len(u)), f1.append(a), f2.append(b)
-                    maps.append(bitmap(u) if new else None)
-                    keys.append(tile_keys(u, table).tobytes() if new else None)
+                        seen.add(both)
+                    n.append(len(u)), f1.append(both[0]), f2.append(both[1]), maps.append(bitmap(u) if new else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(n)), pa.array(n, pa.int64()), *(pa.array(np.array(f, np.uint64).view(np.int64)) for f in (f1, f2)), pa.array(maps, pa.binary()), pa.array(keys, pa.binary())],
-                    ["doc_id", "n", "f1", "f2", "bitmap", "keys"],
+                    [batch.column(0).slice(at, len(n)), pa.array(n, pa.int64()), *(pa.array(np.array(f, np.uint64).view(np.int64)) for f in (f1, f2)), pa.array(maps, pa.binary())],
+                    ["doc_id", "n", "f1", "f2", "bitmap"],
                 )
 
     return run
 
 
-def _explode_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            keys = [np.frombuffer(x.as_py(), np.int64) for x in part.column(1)]
-            ids = np.repeat(part.column(0).to_numpy(), [len(x) for x in keys])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)), pa.array(ids)], ["key", "doc_id"])
+def _deal(k: int, t: Fraction):
+    """(key, doc_id) of every set and tile; tiles are worked out here, not kept, as they outweigh the texts."""
+    table = bands(t)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # equal sets of one task need tiles only once
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            data, offsets = utf8(batch.column(1))
+            for at, part, ends in chunks(data, offsets):
+                keys, owner = [], []
+                for i, u in enumerate(shingle_sets(part, ends, k)):
+                    if len(u) and (both := _prints(u)) not in seen:
+                        seen.add(both), keys.append(tile_keys(u, table)), owner.append(ids[at + i])
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.repeat(owner, [len(x) for x in keys]))], ["key", "doc_id"])
+
+    return run
 
 
 def _shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +262,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, t: Fract
     members = stage(members.dropDuplicates(["doc_id"]), "members")
     side = lambda c: members.select(F.col("doc_id").alias(c), F.col("members").alias(f"s_{c}"))
     full = likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
-    return stage(full.mapInArrow(_intersect(t), "a long, b long"), "verified")
+    verified = stage(full.mapInArrow(_intersect(t), "a long, b long"), "verified")
+    discard(likely, members)
+    return verified
 
 
 def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -265,12 +278,12 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
     empty table gives an empty result."""
     t = Fraction(*threshold)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = stage(docs.mapInArrow(_describe(k, t), _SET), "sets")
+    described = stage(docs.mapInArrow(_describe(k), _SET), "sets")
     first = described.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
     rep = stage(described.select("doc_id", "n", "f1", "f2").join(first, ["f1", "f2"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).alias("rep")), "reps")
-    keyed = described.filter("keys is not null and doc_id is not null")
-    exploded = keyed.select("doc_id", "keys").mapInArrow(_explode_keys, "key long, doc_id long")
-    shared = exploded.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(_shared_tiles, "key long, doc_id long, pivot long")
+    keyed = described.filter("bitmap is not null and doc_id is not null")
+    dealt = docs.filter("doc_id is not null").mapInArrow(_deal(k, t), "key long, doc_id long")
+    shared = dealt.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(_shared_tiles, "key long, doc_id long, pivot long")
     shared = stage(shared, "tiles")
     release()
     of = rep.filter("rep is not null").select("doc_id", "rep").distinct()
@@ -285,6 +298,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
         keyed.select("doc_id", "n", "bitmap").join(of, "doc_id").groupBy("rep").agg(F.min("n").alias("n"), F.min("bitmap").alias("bitmap")).withColumnRenamed("rep", "doc_id"),
         "signatures",
     )
+    discard(described, shared)
     tried = stage(tiles.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).distinct(), "tried")
     links = _verify(tried, sets, docs, k, t)
     comp = components(links)
