@@ -33,6 +33,7 @@ from factline.llm.components import components
 BITS = 2048
 ROUNDS = 4
 TILE = 512
+PART = 4
 _BAND = 1.5
 _SET = "doc_id long, n long, f1 long, f2 long, bitmap binary"
 
@@ -218,7 +219,12 @@ def _tile_pairs(t: Fraction):
                 ok = np.zeros(len(y), bool)
                 for size in np.unique(words[y]):  # at one size each
                     w, these = min(size, words[x]), np.flatnonzero(words[y] == size)
-                    ok[these] = may_link(np.full(len(these), n[x]), n[y[these]], _fold(maps[x], w)[None], np.bitwise_or.reduce(stacks[size][place[y[these]]].reshape(len(these), -1, w), axis=1), t)
+                    mine, nx = _fold(maps[x], w)[None], n[x]
+                    for part in (w // PART, w):  # a part of the bits bounds too, and rules most pairs out
+                        theirs = stacks[size].reshape(-1, size // w, w)[place[y[these]], :, :part]
+                        theirs = theirs[:, 0] if size == w else np.bitwise_or.reduce(theirs, axis=1)
+                        these = these[may_link(np.full(len(these), nx), n[y[these]], mine[:, :part], theirs, t)]
+                    ok[these] = True
                 y = y[ok]
                 out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
         ab = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
