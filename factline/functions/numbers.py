@@ -49,14 +49,23 @@ def distinctive(x: Column) -> Column:
     return F.length(F.regexp_replace(digits, "0+$", "")) >= 4
 
 
-def scale_jump(old: Column, new: Column) -> Column:
-    """The factor if one figure is about 100, 1,000 or 1,000,000 times the other, else null."""
+def last_digit(x: Column) -> Column:
+    """Half a unit of the figure's last decimal place."""
+    return F.lit(0.5) * F.pow(F.lit(10.0), -decimals(x))
+
+
+def scale_factor(old: Column, new: Column, half: Column) -> Column:
+    """The factor if one figure is about 100, 1,000 or 1,000,000 times the other, else null; ``half`` is the smaller one's last_digit."""
     big, small = _size(old, new)
-    unit = F.lit(0.5) * F.pow(F.lit(10.0), -decimals(small))
-    hit = lambda f: (F.abs(big / f - small) <= SCALE_TOLERANCE * small) | (F.abs(big / f - small) <= unit)
+    hit = lambda f: F.abs(big / f - small) <= F.greatest(SCALE_TOLERANCE * small, half)
     return F.when(same_sign(old, new), F.coalesce(*[F.when(hit(f), F.lit(f)) for f in SCALE_FACTORS]))
 
 
+def scale_jump(old: Column, new: Column) -> Column:
+    """scale_factor of two figures by themselves."""
+    return scale_factor(old, new, last_digit(_size(old, new)[1]))
+
+
 def detect_split(old: Column, new: Column, unit: Column) -> Column:
     """The split ratio that explains a change of a share count or per-share figure, else null."""
     big, small = _size(old, new)

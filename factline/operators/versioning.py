@@ -6,13 +6,14 @@ each observation.  A fact has few filings, so an array is small; nothing runs in
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factline.functions.numbers import distinctive, scale_jump, stable_id
+from factline.functions.numbers import distinctive, last_digit, scale_factor, stable_id
 from factline.operators.explain import explain
 from factline.schemas import fact_key, fit
 
@@ -22,22 +23,60 @@ YEAR = (358, 372)
 _FOLD_OUT = "array<struct<accn:string,action:string,reason:string,old_value:double,old_from:date,old_accn:string,old_form:string>>"
 
 
-@dataclass(frozen=True)
 class Result:
-    """``decided``: every (fact, filing) with its action; the rest is what to write."""
+    """``decided``: every (fact, filing) with its action; the rest is what to write, planned on first use unless given."""
 
-    decided: DataFrame
-    records: DataFrame
-    versions: DataFrame
-    closures: DataFrame
-    changes: DataFrame
-    corrections: DataFrame
+    def __init__(
+        self, decided: DataFrame, records: DataFrame | None = None, versions: DataFrame | None = None, closures: DataFrame | None = None, changes: DataFrame | None = None, corrections: DataFrame | None = None
+    ) -> None:
+        self.decided = decided
+        given = {"records": records, "versions": versions, "closures": closures, "changes": changes, "corrections": corrections}
+        self.__dict__ |= {name: df for name, df in given.items() if df is not None}
 
     def counters(self) -> dict[str, int]:
         names = {"initial": "new_facts", "restatement": "restatements", "confirmation": "confirmations", "already_seen": "already_seen", "held": "quarantined", "held_before": "quarantine_already_recorded"}
         found = {r[0]: r[1] for r in self.decided.groupBy("action").count().collect()}
         return {v: found.get(k, 0) for k, v in names.items()}
 
+    @cached_property
+    def records(self) -> DataFrame:
+        return fit(self.decided.filter("action in ('initial', 'restatement', 'confirmation')"), "observations")
+
+    @cached_property
+    def _moved(self) -> DataFrame:
+        return self.decided.filter("action in ('initial', 'restatement')")
+
+    @cached_property
+    def _ends(self) -> DataFrame:
+        return self._moved.filter("action = 'restatement'").select("fact_key", F.col("old_accn").alias("source_accn"), F.col("old_from").alias("known_from"), F.col("filed").alias("known_to"))
+
+    @cached_property
+    def versions(self) -> DataFrame:
+        versions = self._moved.select(
+            "*", F.col("filed").alias("known_from"), F.col("accn").alias("source_accn"), F.col("form").alias("source_form"), F.col("action").alias("change_type"),
+            stable_id(F.col("fact_key"), F.col("accn"), F.col("filed"), F.col("action")).alias("version_id"),
+        )
+        return fit(versions.join(self._ends, ["fact_key", "source_accn", "known_from"], "left"), "facts_history")
+
+    @cached_property
+    def closures(self) -> DataFrame:
+        """Ends of versions that an earlier batch published."""
+        return self._ends.join(self.versions.select("fact_key", "source_accn", "known_from"), ["fact_key", "source_accn", "known_from"], "left_anti")
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        changes = explain(self._moved.filter("action = 'restatement'").withColumnRenamed("value", "new_value").withColumn("old_filed", F.col("old_from")))
+        ids = stable_id(F.col("fact_key"), F.col("old_accn"), F.col("accn")).alias("change_id")
+        return fit(changes.select("*", ids, F.col("filed").alias("effective_date"), F.col("accn").alias("new_accn"), F.col("form").alias("new_form")), "change_log")
+
+    @cached_property
+    def corrections(self) -> DataFrame:
+        held = self.decided.filter("action = 'held'").select(
+            "*", stable_id(F.col("fact_key"), F.col("accn"), F.col("value")).alias("correction_id"), F.when(F.col("reason") != "conflict_within_filing", F.col("old_value")).alias("current_value"),
+            F.col("value").alias("proposed_value"), F.col("reason").alias("reason_code"), F.concat(F.lit("held: "), F.translate("reason", "_", " ")).alias("detail"), F.lit("pending").alias("status"), F.col("recorded_at").alias("created_at"),
+        )
+        return fit(held.dropDuplicates(["fact_key", "accn", "proposed_value"]), "corrections")
+
 
 def _collapse(obs: DataFrame) -> DataFrame:
     """One row a fact and filing; ``values``: its distinct values.  Of equal rows the smallest by its other columns stays."""
@@ -69,12 +108,17 @@ def _shorter(rows: DataFrame, evidence: DataFrame) -> DataFrame:
     return hit.groupBy("fact_key", "accn").agg(F.min("e_weeks").alias("shorter"))
 
 
-def _twin(o: Column, cur: Column) -> Column:
+def _let(x: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(x)`` with x worked out once: inside a lambda, a column used twice is evaluated twice."""
+    return F.get(F.transform(F.array(x), then), 0)
+
+
+def _twin(o: Column, cur: Column, cur_distinct: Column) -> Column:
     """The first end that says the value belongs to another year, else null."""
 
     def suspect(t: Column) -> Column:
-        new = t["took"] & (F.size(t["now"]) > 0) & ~F.array_contains(t["now"], o["value"]) & distinctive(o["value"])
-        old = F.array_contains(t["now"], cur) & (t["took"] | distinctive(cur))
+        new = t["took"] & (F.size(t["now"]) > 0) & ~F.array_contains(t["now"], o["value"]) & o["distinct"]
+        old = F.array_contains(t["now"], cur) & (t["took"] | cur_distinct)
         return F.coalesce(F.when(cur.isNull(), new).otherwise(old), F.lit(False))
 
     return F.get(F.filter(o["twins"], suspect), 0)["end"]
@@ -83,13 +127,18 @@ def _twin(o: Column, cur: Column) -> Column:
 def _taint(facts: DataFrame) -> DataFrame:
     """ticker, accn, weeks, period_end of filings that put figures on the wrong year; both years count."""
     out = "array<struct<accn:string,ends:array<date>>>"
-    start = F.struct(F.col("cur_value").alias("prior"), F.expr(f"cast(array() as {out})").alias("out"))
+    start = F.struct(F.col("cur_value").alias("prior"), F.col("cur_distinct").alias("distinct"), F.expr(f"cast(array() as {out})").alias("out"))
 
     def step(acc: Column, o: Column) -> Column:
-        twin = _twin(o, acc["prior"])
-        marked = F.concat(acc["out"], F.array(F.struct(o["accn"].alias("accn"), F.array(o["period_end"], twin).alias("ends")))).cast(out)
         same = F.coalesce(acc["prior"] == o["value"], F.lit(False))
-        return F.struct(F.when(same | twin.isNotNull(), acc["prior"]).otherwise(o["value"]).alias("prior"), F.when(~same & twin.isNotNull(), marked).otherwise(acc["out"]).alias("out"))
+
+        def then(twin: Column) -> Column:
+            marked = F.concat(acc["out"], F.array(F.struct(o["accn"].alias("accn"), F.array(o["period_end"], twin).alias("ends")))).cast(out)
+            stays = same | twin.isNotNull()
+            pick = lambda new, old: F.when(stays, acc[old]).otherwise(o[new])
+            return F.struct(pick("value", "prior").alias("prior"), pick("distinct", "distinct").alias("distinct"), F.when(~same & twin.isNotNull(), marked).otherwise(acc["out"]).alias("out"))
+
+        return _let(_twin(o, acc["prior"], acc["distinct"]), then)
 
     found = facts.select("ticker", "weeks", F.explode(F.aggregate("filings", start, step, lambda a: a["out"])).alias("t"))
     return found.select("ticker", "weeks", F.col("t.accn").alias("accn"), F.explode("t.ends").alias("period_end")).distinct()
@@ -97,31 +146,35 @@ def _taint(facts: DataFrame) -> DataFrame:
 
 def _walk(filings: Column) -> Column:
     """Every filing's action, in order; the first rule that holds."""
-    start = F.struct(
-        F.col("cur_value").alias("value"), F.col("cur_from").alias("since"), F.col("cur_accn").alias("accn"), F.col("cur_form").alias("form"), F.expr(f"cast(array() as {_FOLD_OUT})").alias("out")
-    )
+    state = ["value", "since", "accn", "form", "distinct", "half"]
+    start = F.struct(*[F.col("cur_from" if c == "since" else f"cur_{c}").alias(c) for c in state], F.expr(f"cast(array() as {_FOLD_OUT})").alias("out"))
 
     def step(acc: Column, o: Column) -> Column:
         none, equal = acc["since"].isNull(), o["value"] == acc["value"]
-        twin = _twin(o, F.when(~none, acc["value"])).isNotNull()
-        wrong = F.lit("suspected_wrong_period")
+        twin = _twin(o, F.when(~none, acc["value"]), acc["distinct"]).isNotNull()
+        half = F.when(F.abs(o["value"]) < F.abs(acc["value"]), o["half"]).otherwise(acc["half"])
         reason = (
-            F.when(none, F.when(twin | o["tainted"], wrong))
-            .when(equal, F.lit(None))
-            .when(o["filed"] < acc["since"], F.lit("late_arrival"))
-            .when(twin | o["shorter"].isNotNull() | o["tainted"], wrong)
-            .when((o["unit"] != "commits") & scale_jump(acc["value"], o["value"]).isNotNull(), F.lit("suspected_scale_error"))
+            F.when(~none & equal, F.lit(None))
+            .when(~none & (o["filed"] < acc["since"]), F.lit("late_arrival"))
+            .when(twin | o["tainted"] | (~none & o["shorter"].isNotNull()), F.lit("suspected_wrong_period"))
+            .when(none, F.lit(None))
+            .when((o["unit"] != "commits") & scale_factor(acc["value"], o["value"], half).isNotNull(), F.lit("suspected_scale_error"))
             .when(o["filed"] == acc["since"], F.lit("same_day_conflict"))
         )
-        action = F.when(reason.isNotNull(), "held").when(none, "initial").when(equal, "confirmation").otherwise("restatement")
-        moves = action.isin("initial", "restatement")
-        event = F.struct(
-            o["accn"].alias("accn"), action.alias("action"), reason.cast("string").alias("reason"), acc["value"].alias("old_value"), acc["since"].alias("old_from"), acc["accn"].alias("old_accn"), acc["form"].alias("old_form")
-        )
-        pick = lambda new, old: F.when(moves, o[new]).otherwise(acc[old])
-        return F.struct(
-            pick("value", "value").alias("value"), pick("filed", "since").alias("since"), pick("accn", "accn").alias("accn"), pick("form", "form").alias("form"), F.concat(acc["out"], F.array(event)).cast(_FOLD_OUT).alias("out")
-        )
+
+        def decide(reason: Column) -> Column:
+            action = F.when(reason.isNotNull(), "held").when(none, "initial").when(equal, "confirmation").otherwise("restatement")
+            return F.struct(action.alias("action"), reason.alias("reason"))
+
+        def move(d: Column) -> Column:
+            event = F.struct(
+                o["accn"].alias("accn"), d["action"].alias("action"), d["reason"].alias("reason"), acc["value"].alias("old_value"), acc["since"].alias("old_from"), acc["accn"].alias("old_accn"), acc["form"].alias("old_form")
+            )
+            moves = d["action"].isin("initial", "restatement")
+            kept = [F.when(moves, o["filed" if c == "since" else c]).otherwise(acc[c]).alias(c) for c in state]
+            return F.struct(*kept, F.concat(acc["out"], F.array(event)).cast(_FOLD_OUT).alias("out"))
+
+        return _let(_let(reason.cast("string"), decide), move)
 
     return F.aggregate(filings, start, step, lambda a: a["out"])
 
@@ -154,10 +207,12 @@ def reconcile(observations: DataFrame, seen: DataFrame | None = None, current: D
         open_ = rest.select("fact_key").limit(0).select("fact_key", *[F.lit(None).cast(t).alias(n) for n, t in (("cur_value", "double"), ("cur_from", "date"), ("cur_accn", "string"), ("cur_form", "string"))])
     else:
         open_ = current.filter("known_to is null").select("fact_key", F.col("value").alias("cur_value"), F.col("known_from").alias("cur_from"), F.col("source_accn").alias("cur_accn"), F.col("source_form").alias("cur_form"))
-    cur = ["cur_value", "cur_from", "cur_accn", "cur_form"]
+    open_ = open_.withColumns({"cur_distinct": distinctive(F.col("cur_value")), "cur_half": last_digit(F.abs("cur_value"))})
+    rest = rest.withColumns({"distinct": distinctive(F.col("value")), "half": last_digit(F.abs("value"))})
+    cur = ["cur_value", "cur_from", "cur_accn", "cur_form", "cur_distinct", "cur_half"]
 
     def facts(df: DataFrame, *more: str) -> DataFrame:
-        each = F.array_sort(F.collect_list(F.struct("filed", "accn", "value", "form", "unit", "period_end", "twins", "shorter", *more)))
+        each = F.array_sort(F.collect_list(F.struct("filed", "accn", "value", "form", "unit", "period_end", "twins", "shorter", "distinct", "half", *more)))
         return df.groupBy("fact_key").agg(F.min("ticker").alias("ticker"), F.min("weeks").alias("weeks"), each.alias("filings")).join(open_, "fact_key", "left").select("fact_key", "ticker", "weeks", "filings", *cur)
 
     taint = _taint(facts(rest).filter(F.exists("filings", lambda o: F.size(o["twins"]) > 0))).withColumn("mark", F.lit(True))
@@ -168,7 +223,7 @@ def reconcile(observations: DataFrame, seen: DataFrame | None = None, current: D
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (("old_value", "double"), ("old_from", "date"), ("old_accn", "string"), ("old_form", "string"))]
     changed = F.col("seen_value") != F.col("value")
     decided = (
-        rest.select(*attributes).join(walked, ["fact_key", "accn"]).select(*attributes, *late)
+        fresh.select(*attributes).join(walked, ["fact_key", "accn"]).select(*attributes, *late)
         .unionByName(clash.select(*attributes, F.lit("held").alias("action"), F.lit("conflict_within_filing").alias("reason"), *nothing))
         .unionByName(single.filter("seen_value is not null").select(*attributes, F.when(changed, "held").otherwise("already_seen").alias("action"), F.when(changed, "same_filing_value_changed").alias("reason"), F.col("seen_value").alias("old_value"), *nothing[1:]))
     )
@@ -176,26 +231,4 @@ def reconcile(observations: DataFrame, seen: DataFrame | None = None, current: D
         old = known.select("fact_key", "accn", F.col("proposed_value").alias("value"), F.lit(True).alias("known")).distinct()
         decided = decided.join(old, ["fact_key", "accn", "value"], "left").withColumn("action", F.when((F.col("action") == "held") & F.col("known"), "held_before").otherwise(F.col("action"))).drop("known")
     decided = decided.withColumn("recorded_at", now).withColumn("run_id", F.lit(run_id))
-    return route(decided)
-
-
-def route(decided: DataFrame) -> Result:
-    """What each action writes."""
-    moved = decided.filter("action in ('initial', 'restatement')")
-    versions = moved.select(
-        "*", F.col("filed").alias("known_from"), F.col("accn").alias("source_accn"), F.col("form").alias("source_form"), F.col("action").alias("change_type"),
-        stable_id(F.col("fact_key"), F.col("accn"), F.col("filed"), F.col("action")).alias("version_id"),
-    )
-    ends = moved.filter("action = 'restatement'").select("fact_key", F.col("old_accn").alias("source_accn"), F.col("old_from").alias("known_from"), F.col("filed").alias("known_to"))
-    versions = versions.join(ends, ["fact_key", "source_accn", "known_from"], "left")
-    closures = ends.join(versions.select("fact_key", "source_accn", "known_from"), ["fact_key", "source_accn", "known_from"], "left_anti")
-    changes = explain(moved.filter("action = 'restatement'").withColumnRenamed("value", "new_value").withColumn("old_filed", F.col("old_from"))).select(
-        "*", stable_id(F.col("fact_key"), F.col("old_accn"), F.col("accn")).alias("change_id"), F.col("filed").alias("effective_date"), F.col("accn").alias("new_accn"), F.col("form").alias("new_form")
-    )
-    held = decided.filter("action = 'held'").select(
-        "*", stable_id(F.col("fact_key"), F.col("accn"), F.col("value")).alias("correction_id"), F.when(F.col("reason") != "conflict_within_filing", F.col("old_value")).alias("current_value"),
-        F.col("value").alias("proposed_value"), F.col("reason").alias("reason_code"), F.concat(F.lit("held: "), F.translate("reason", "_", " ")).alias("detail"), F.lit("pending").alias("status"), F.col("recorded_at").alias("created_at"),
-    )
-    held = held.dropDuplicates(["fact_key", "accn", "proposed_value"])
-    records = decided.filter("action in ('initial', 'restatement', 'confirmation')")
-    return Result(decided, fit(records, "observations"), fit(versions, "facts_history"), closures, fit(changes, "change_log"), fit(held, "corrections"))
+    return Result(decided)
