@@ -278,6 +278,28 @@ def test_html(spark):
     assert [got[10 + i].text for i in range(6)] == [f"text {i}\n\nmore {i * i}" for i in range(6)]
 
 
+def test_html_keeps_near_copies_and_articles(spark):
+    shared = [f"shared paragraph number {k} of the story" for k in range(9)]
+    ps = lambda own: "".join(f"<p>{t}</p>" for t in own)
+    copies = [[*shared, f"ending number {i} of the same story"] for i in range(30)]
+    rows, want = [], {}
+    for i in range(3):
+        rows.append((i, "http://near.a/", f"<body><article>{ps(copies[i])}</article></body>"))
+        rows.append((10 + i, "http://near.b/", f"<body>{ps(copies[i])}</body>"))
+        want[i] = want[10 + i] = "\n\n".join(copies[i])
+        rows.append((20 + i, "http://head.a/", f"<body><article><h2>Summary</h2><p>a text of its own {i}</p></article></body>"))
+        want[20 + i] = f"Summary\n\na text of its own {i}"
+    for i in range(30):
+        rows.append((100 + i, "http://many.a/", f"<body>{ps(copies[i])}</body>"))
+        want[100 + i] = "\n\n".join(copies[i])
+    for i in range(4):
+        own = [f"page {i} has its own text {k}" for k in range(10)]
+        rows.append((200 + i, "http://many.a/", f"<body>{ps(own)}</body>"))
+        want[200 + i] = "\n\n".join(own)
+    got = html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == want
+
+
 def test_url_filters(spark):
     entries = spark.createDataFrame([("domain", "b.c", "2024-01-10", "add"), ("domain", "b.c", "2024-03-05", "remove"), ("domain", "b.c", "2024-03-05", "add"), ("prefix", "x.y/p", "2024-02-01", "add"), ("host", "x.y", "2024-02-03", "remove"), (None, "q", "2024-01-01", "add")], "kind string, pattern string, day string, action string").withColumn("day", F.to_date("day"))
     cases = [("http://u@A.b.c:80/z?q", "2024-01-10", True), ("//b.c", "2024-01-09", False), ("https://b.c/", "2024-03-04", True), ("https://b.c/", "2024-03-05", False), ("http://ab.c", "2024-02-01", False), ("http://x.y/p/r", "2024-06-01", True), ("http://x.y/pq", "2024-06-01", False), (None, "2024-06-01", False), ("no url", "2024-06-01", False), ("http://b.c", None, False)]
