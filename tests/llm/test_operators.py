@@ -300,6 +300,16 @@ def test_html_keeps_near_copies_and_articles(spark):
     assert {r.page_id: r.text for r in got.collect()} == want
 
 
+def test_html_tells_siblings_of_one_style_apart(spark):
+    notice = "".join(f"<p>notice {k}</p>" for k in range(9))
+    one = [f"<body><div>{notice}</div><div><p>the story of page {i}, longer than every notice put together on it, by far and wide</p></div></body>" for i in range(5)]
+    many = [f"<body><div><p>notice</p></div><div>{''.join(f'<p>story {i} part {k} of it</p>' for k in range(i + 1))}</div></body>" for i in range(5)]
+    rows = [*[(i, "http://one.a/", x) for i, x in enumerate(one)], *[(10 + i, "http://many.a/", x) for i, x in enumerate(many)]]
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(5)] == [f"the story of page {i}, longer than every notice put together on it, by far and wide" for i in range(5)]
+    assert [got[10 + i] for i in range(5)] == ["\n\n".join(f"story {i} part {k} of it" for k in range(i + 1)) for i in range(5)]
+
+
 def test_url_filters(spark):
     entries = spark.createDataFrame([("domain", "b.c", "2024-01-10", "add"), ("domain", "b.c", "2024-03-05", "remove"), ("domain", "b.c", "2024-03-05", "add"), ("prefix", "x.y/p", "2024-02-01", "add"), ("host", "x.y", "2024-02-03", "remove"), (None, "q", "2024-01-01", "add")], "kind string, pattern string, day string, action string").withColumn("day", F.to_date("day"))
     cases = [("http://u@A.b.c:80/z?q", "2024-01-10", True), ("//b.c", "2024-01-09", False), ("https://b.c/", "2024-03-04", True), ("https://b.c/", "2024-03-05", False), ("http://ab.c", "2024-02-01", False), ("http://x.y/p/r", "2024-06-01", True), ("http://x.y/pq", "2024-06-01", False), (None, "2024-06-01", False), ("no url", "2024-06-01", False), ("http://b.c", None, False)]
