@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from factline.llm._common import ALNUM, LOWER, chunks, hash_spans, owners, stage
 BLOCK_ITEMS = 50_000
 #: A block also ends where its texts reach so many bytes.
 BLOCK_BYTES = 16 << 20
-_SHARD = "shard string, doc_ids binary, first binary, terms binary, counts binary, positions binary"
+_SHARD = "shard string, rows binary, doc_ids binary, first binary, terms binary, counts binary, positions binary"
 
 
 class Queries:
@@ -65,6 +66,7 @@ def _index(terms: np.ndarray, gap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            number = batch.column(2).to_numpy()
             data, offsets = utf8(batch.column(1))
             for at, part, ends in chunks(data, offsets):
                 part = LOWER[part]
@@ -78,9 +80,9 @@ def _index(terms: np.ndarray, gap: int):
                 term, pos = term[order], pos[order]
                 own, count = np.unique(term, return_counts=True)
                 place = first + np.arange(len(first)) * gap
-                rows = [ids[at : at + len(ends) - 1], place, own.astype(np.int32), count.astype(np.int32), pos.astype(np.int32)]
-                shard = hashlib.md5(rows[0].tobytes() + rows[4].tobytes()).hexdigest()
-                yield pa.RecordBatch.from_arrays([pa.array([shard]), *(pa.array([x.tobytes()], pa.binary()) for x in rows)], ["shard", "doc_ids", "first", "terms", "counts", "positions"])
+                rows = [number[at : at + len(ends) - 1], ids[at : at + len(ends) - 1], place, own.astype(np.int32), count.astype(np.int32), pos.astype(np.int32)]
+                shard = hashlib.md5(rows[0].tobytes() + rows[5].tobytes()).hexdigest()
+                yield pa.RecordBatch.from_arrays([pa.array([shard]), *(pa.array([x.tobytes()], pa.binary()) for x in rows)], ["shard", "rows", "doc_ids", "first", "terms", "counts", "positions"])
 
     return run
 
@@ -129,7 +131,7 @@ def _search(q: Queries, order: np.ndarray, slop: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                shard = {k: np.frombuffer(row[k], np.int32 if k in ("terms", "counts", "positions") else np.int64) for k in ("doc_ids", "first", "terms", "counts", "positions")}
+                shard = {k: np.frombuffer(row[k], np.int32 if k in ("terms", "counts", "positions") else np.int64) for k in ("rows", "doc_ids", "first", "terms", "counts", "positions")}
                 window, start = intersect(shard, q, order, slop)
                 place = shard["first"]
                 doc = np.searchsorted(place, start + slop, "right") - 1
@@ -138,34 +140,33 @@ def _search(q: Queries, order: np.ndarray, slop: int):
                 n_words = np.diff(place) - gap
                 by = np.argsort(doc, kind="stable")
                 edge = np.searchsorted(doc[by], np.arange(len(n_words) + 1))
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], []]
                 for k in range(len(n_words)):
                     own = by[edge[k] : edge[k + 1]]
                     hit = np.zeros(int(n_words[k]) + 1, np.int64)
                     items: set[int] = set()
-                    matches = []
+                    matches: dict[tuple[int, int], set[str]] = {}
                     for w, s in zip(window[own].tolist(), (start[own] - place[k]).tolist(), strict=True):
                         hit[max(0, min(s, len(hit) - 1))] += 1
                         hit[max(0, min(s + int(q.length[w]), len(hit) - 1))] -= 1
                         items.update(q.of[w])
-                        matches.append((s, int(q.length[w]), [q.items[i] for i in q.of[w]]))
+                        matches.setdefault((s, int(q.length[w])), set()).update(q.items[i] for i in q.of[w])
+                    out[5].append(int(shard["rows"][k]))
                     out[0].append(int(shard["doc_ids"][k]))
                     out[1].append(int(n_words[k]))
                     runs = np.diff(np.r_[0, (np.cumsum(hit)[:-1] > 0).astype(np.int8), 0])
                     out[2].append([{"first_word": int(a), "n_words": int(b - a)} for a, b in zip(np.flatnonzero(runs == 1), np.flatnonzero(runs == -1), strict=True)])
-                    out[3].append([q.items[i] for i in sorted(items)])
-                    out[4].append([{"first_word": s, "n_words": n, "items": i} for s, n, i in sorted(matches)])
-                span = pa.struct([("first_word", pa.int64()), ("n_words", pa.int64())])
-                match = pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("items", pa.list_(pa.string()))])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(span)), pa.array(out[3], pa.list_(pa.string())), pa.array(out[4], pa.list_(match))],
-                    ["doc_id", "n_words", "spans", "items", "matches"],
-                )
+                    out[3].append(sorted({q.items[i] for i in items}))
+                    out[4].append([{"first_word": s, "n_words": n, "items": sorted(i)} for (s, n), i in sorted(matches.items())])
+                yield pa.RecordBatch.from_arrays([pa.array(column, t) for column, t in zip(out, _TYPES.values(), strict=True)], list(_TYPES))
 
     return run
 
 
-_FOUND = "doc_id long, n_words long, spans array<struct<first_word:long,n_words:long>>, items array<string>, matches array<struct<first_word:long,n_words:long,items:array<string>>>"
+_SPAN = pa.struct([("first_word", pa.int64()), ("n_words", pa.int64())])
+_MATCH = pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("items", pa.list_(pa.string()))])
+_TYPES = {"doc_id": pa.int64(), "n_words": pa.int64(), "spans": pa.list_(_SPAN), "items": pa.list_(pa.string()), "matches": pa.list_(_MATCH), "row": pa.int64()}
+_FOUND = "doc_id long, n_words long, spans array<struct<first_word:long,n_words:long>>, items array<string>, matches array<struct<first_word:long,n_words:long,items:array<string>>>, row long"
 
 
 def _gap(width: int, slop: int) -> int:
@@ -185,15 +186,21 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str | None]]]:
 
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, slop: int = 0) -> DataFrame:
-    """doc_id, n_words, spans (words hit, as maximal runs), items (ids of items with a match), matches (each one).
+    """doc_id, n_words, spans (words hit, as maximal runs), items (ids of items with a match),
+    matches (each place and length, with the ids found there).
 
     A window is ``width`` consecutive words of an item, or all of them if fewer.  A null or empty
     text has no words; items without words match nothing, items with a null item_id are ignored,
     items that share an id count as one.  Rows with a null doc_id are left out; rows that repeat
     a doc_id each give a row.  Other columns are ignored; empty tables give no matches."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    docs = docs.withColumn("row", F.monotonically_increasing_id())
+    blocks = _blocks(benchmark)
+    first, second = next(blocks), next(blocks, None)
+    if second is not None:  # each block reads the documents: a row keeps its number
+        docs = stage(docs, "rows")
     parts: list[DataFrame] = []
-    for items in _blocks(benchmark):
+    for items in chain([first], [second] if second is not None else [], blocks):
         q = Queries(items, width)
         shards = stage(docs.mapInArrow(_index(q.terms, _gap(width, slop)), _SHARD), "postings")
         per = shards.select("terms", "counts").mapInArrow(_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
@@ -204,22 +211,26 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, width: int =
         order = np.argsort(rank, axis=1, kind="stable")
         parts.append(shards.mapInArrow(_search(q, order, slop), _FOUND))
     if len(parts) == 1:
-        return parts[0]
-    both = reduce(DataFrame.unionByName, parts).groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.flatten(F.collect_list("matches")).alias("matches")
-    )
-    return both.withColumn("spans", _merge_spans(F.col("spans")))
+        return parts[0].drop("row")
+    lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "matches")]
+    both = reduce(DataFrame.unionByName, parts).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *lists)
+    return both.select(list(_TYPES)).mapInArrow(_merged, _FOUND).drop("row")
 
 
-def _merge_spans(spans):
-    """Overlapping runs of words, from any order, as maximal runs."""
-    empty = F.expr("cast(array() as array<struct<first_word:long,n_words:long>>)")
-
-    def step(acc, s):
-        last = F.element_at(acc, -1)
-        end = last["first_word"] + last["n_words"]
-        longer = F.struct(last["first_word"].alias("first_word"), (F.greatest(end, s["first_word"] + s["n_words"]) - last["first_word"]).alias("n_words"))
-        touch = (F.size(acc) > 0) & (s["first_word"] <= F.try_element_at(acc, F.lit(-1))["first_word"] + F.try_element_at(acc, F.lit(-1))["n_words"])
-        return F.when(touch, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(acc, F.array(s)))
-
-    return F.aggregate(F.array_sort(spans), empty, step)
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the blocks found in a document, as one block would tell it."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        for r in rows:
+            spans: list[dict] = []
+            for s in sorted(r["spans"], key=lambda s: s["first_word"]):
+                if spans and s["first_word"] <= (end := spans[-1]["first_word"] + spans[-1]["n_words"]):
+                    spans[-1]["n_words"] = max(end, s["first_word"] + s["n_words"]) - spans[-1]["first_word"]
+                else:
+                    spans.append(s)
+            matches: dict[tuple[int, int], set[str]] = {}
+            for m in r["matches"]:
+                matches.setdefault((m["first_word"], m["n_words"]), set()).update(m["items"])
+            r["spans"], r["items"] = spans, sorted(set(r["items"]))
+            r["matches"] = [{"first_word": s, "n_words": n, "items": sorted(i)} for (s, n), i in sorted(matches.items())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in _TYPES.items()], list(_TYPES))

@@ -138,6 +138,23 @@ def test_decontamination(spark, docs, texts, block, monkeypatch):
         assert (r.n_words, {p for s in r.spans for p in range(s.first_word, s.first_word + s.n_words)}, set(r["items"])) == (len(w), hit, found)
 
 
+def test_blocks_of_items_change_nothing(spark, monkeypatch):
+    w = [f"w{i}" for i in range(40)]
+    docs = [(1, " ".join(w)), (1, " ".join(w[:15])), (1, " ".join(w)), (2, "x y"), (2, None), (None, " ".join(w))]
+    items = [("b", " ".join(w[2:16])), ("a", " ".join(w[2:16])), ("b", " ".join(w[9:25])), (None, "x y"), ("c", "x"), ("c", "y"), ("b", " ".join(w[2:16]))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    results = []
+    for block in (50_000, 2, 1):
+        monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
+        rows = decontaminate.find_contamination(docs, benchmark, 10).collect()
+        results.append(sorted((r.asDict(recursive=True) for r in rows), key=str))
+    assert results[0] == results[1] == results[2]
+    got = [(r["doc_id"], r["n_words"], [(s["first_word"], s["n_words"]) for s in r["spans"]], r["items"]) for r in results[0]]
+    want = [(1, 15, [(2, 13)], ["a", "b"]), (1, 40, [(2, 23)], ["a", "b"]), (1, 40, [(2, 23)], ["a", "b"]), (2, 0, [], []), (2, 2, [(0, 2)], ["c"])]
+    assert sorted(got) == want
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "one two x three four"), (2, "one y y y two three four")], "doc_id long, text string")
     q = spark.createDataFrame([("a", "one two three four")], "item_id string, text string")
