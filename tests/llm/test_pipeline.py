@@ -1,3 +1,5 @@
+import pytest
+
 import corpus_pipeline
 
 from factline.llm import decontaminate, jaccard_join, quality
@@ -26,3 +28,30 @@ def test_stages_take_effect(spark):
     assert docs.filter("n_chars <> length(text)").count() == 0
     packed = corpus_pipeline.packed_sequences(spark, docs, sf)
     assert packed.select("doc_id").distinct().count() == kept[-1]
+
+
+@pytest.mark.parametrize("files", [False, True])
+def test_rows_that_share_a_doc_id_or_have_none(spark, tmp_path, files):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    shared, item = words("s", 20), words("item", 12)
+    spark.createDataFrame([("a", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def kept(step, rows):
+        docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+        if files:
+            docs.write.parquet(f"{tmp_path}/{step.__name__}")
+            docs = spark.read.parquet(f"{tmp_path}/{step.__name__}")
+        out = step(spark, docs, str(tmp_path)).collect()
+        assert all(r.n_chars == len(r.text) for r in out)
+        return sorted(((r.doc_id, r.text.strip()) for r in out), key=str)
+
+    good, junk, other, third = words("g", 30), "one two", words("o", 30), words("t", 30)
+    judged = kept(corpus_pipeline.quality_rules, [(1, good), (1, junk), (None, junk), (None, other), (2, third)])
+    assert judged == sorted([(1, good), (None, other), (2, third)], key=str)
+    single = kept(corpus_pipeline.near_duplicates, [(None, good), (1, good), (1, good), (1, other), (None, third), (None, third), (2, good), (3, other)])
+    assert single == sorted([(1, good), (1, other), (None, third)], key=str)
+    a, b, c, d = (words(x, 15) for x in "abcd")
+    cut = kept(corpus_pipeline.repeated_passages, [(5, f"{a} {shared}"), (7, f"{b} {shared}"), (7, f"{c} {shared}"), (7, shared), (None, f"{d} {shared}")])
+    assert cut == sorted([(5, f"{a} {shared}"), (7, b), (7, c), (None, d)], key=str)
+    clean = kept(corpus_pipeline.benchmark_passages, [(1, f"{a} {item}"), (1, good), (None, item), (None, other)])
+    assert clean == sorted([(1, good), (None, other)], key=str)
