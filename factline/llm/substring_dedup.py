@@ -10,30 +10,38 @@ with the smallest id.
 Index, probes and replies travel packed: a row holds the sorted fingerprints that one group of
 documents sends to one bucket of the fingerprint space, each value once however many documents
 of the group have it, so a passage that a third of all documents share is one entry a group.
-Groups and buckets grow in number with the input and stay near TARGET_BYTES in size.
+Groups and buckets grow in number with the input.  Their size is TARGET_BYTES, and beyond some 2 TB
+grows with the square root of the input, so that a packet keeps PACKET_BYTES of text on average and
+rows stay few: 160 MB a group for 100 TB.  Fingerprints have 64 bits: a window is taken for
+another's copy with a chance of about (windows^2 / 2^64).
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factline.llm._common import NOT_SPACE, chunks, hash_spans, hash_windows, owners, release, stage, utf8, word_spans
+from factline.llm._common import NOT_SPACE, chunks, discard, hash_spans, hash_windows, owners, release, stage, utf8, word_spans
 
 TARGET_BYTES = 24 << 20
+#: Text behind the rows that one group sends to one bucket, at least, on average.
+PACKET_BYTES = 256
 _FRAGMENT = 30
 
 
-def _layout(docs: DataFrame) -> tuple[int, int]:
-    """Groups and bits of the bucket number, from the bytes of all texts."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(8, -(-size // TARGET_BYTES))
-    return n, max(3, int(n - 1).bit_length())
+def layout(size: int) -> tuple[int, int]:
+    """Groups and bits of the bucket number, for so many bytes of text."""
+    target = max(TARGET_BYTES, isqrt(size * PACKET_BYTES))
+    n = max(8, -(-size // target))
+    bits = max(3, (n - 1).bit_length())
+    assert bits + _FRAGMENT <= 64 and n < 1 << 31, "fingerprints and group numbers are too short for this input"
+    return n, bits
 
 
 class _Words:
@@ -55,9 +63,11 @@ def _short(h: np.ndarray, bits: int) -> np.ndarray:
     return h >> np.uint64(64 - bits - _FRAGMENT)
 
 
-def _runs(x: np.ndarray) -> np.ndarray:
-    """Where each run of equal values begins."""
-    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where each run of equal rows begins."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in columns])])
 
 
 def _probes(block: int, bits: int):
@@ -71,10 +81,10 @@ def _probes(block: int, bits: int):
                 w = _Words(part, ends)
                 h, pos = w.windows(block)
                 doc = w.doc[pos]
-                key = (groups[at + doc].astype(np.uint64) << np.uint64(bits + _FRAGMENT)) | _short(h, bits)
-                order = np.argsort(key, kind="stable")  # documents stay in order in a run
-                key, doc, indexed = key[order], doc[order], ((pos - w.first[doc]) % block == 0)[order]
-                run = _runs(key)
+                group, key = groups[at + doc], _short(h, bits)
+                order = np.lexsort((key, group))  # documents stay in order in a run
+                group, key, doc, indexed = group[order], key[order], doc[order], ((pos - w.first[doc]) % block == 0)[order]
+                run = _runs(group, key)
                 if not len(run):
                     continue
                 last = np.append(run[1:], len(key)) - 1
@@ -82,11 +92,10 @@ def _probes(block: int, bits: int):
                 entry = ((key[run] & np.uint64((1 << _FRAGMENT) - 1)) << np.uint64(2)).astype(np.uint32)
                 entry |= np.logical_or.reduceat(indexed, run).astype(np.uint32) << np.uint32(1)
                 entry |= several.astype(np.uint32)
-                where = key[run] >> np.uint64(_FRAGMENT)
-                cut = _runs(where)
+                group, bucket = group[run], (key[run] >> np.uint64(_FRAGMENT)).astype(np.int64)
+                cut = _runs(group, bucket)
                 packed = [entry[a:b].tobytes() for a, b in zip(cut, np.append(cut, len(entry))[1:], strict=True)]
-                bucket = (where[cut] & np.uint64((1 << bits) - 1)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array((where[cut] >> np.uint64(bits)).astype(np.int64)), pa.array(packed, pa.binary())], ["bucket", "grp", "packed"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut]), pa.array(group[cut], pa.int64()), pa.array(packed, pa.binary())], ["bucket", "grp", "packed"])
 
     return run
 
@@ -108,7 +117,7 @@ def _hits(key: tuple, rows: pa.Table) -> pa.Table:
         return pa.table({"bucket": pa.array([], pa.int64()), "grp": pa.array([], pa.int64()), "hits": pa.array([], pa.binary())})
     count = np.diff(np.append(run, len(value)))
     flags = np.bitwise_or.reduceat(entry[order], run)
-    # rows of one group may come from several tasks, but never for one document
+    # a group's rows may come from several tasks, and a document's from several groups: then more hits than needed
     hit = ((flags & 2) > 0) & ((count > 1) | ((flags & 1) > 0))
     keep = np.repeat(hit, count)
     g, v = group[row[order[keep]]], value[keep]
@@ -200,6 +209,17 @@ def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
 _OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, repeats array<struct<first_word:long,n_words:long>>"
 
 
+def _whole(window: int):
+    """Documents that nothing is removed from -> the result rows."""
+    cut, none = _cut(window), pa.table({"prints": pa.array([], pa.binary()), "docs": pa.array([], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from cut((), pa.Table.from_batches([batch]), none).to_batches()
+
+    return run
+
+
 def _cut(window: int):
     """One group's documents and the repeats among them -> the result rows."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string()), ("repeats", pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64())])))])
@@ -209,7 +229,7 @@ def _cut(window: int):
         earliest = _unpack(replies, "docs", np.int64)[0]
         order = np.argsort(prints)
         prints, earliest = prints[order], earliest[order]
-        ids = docs.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy()  # nothing is smaller
+        ids = docs.column("doc_id").fill_null(0).to_numpy()
         missing = docs.column("doc_id").is_null().to_numpy()
         nulls = docs.column("text").is_null().to_numpy()
         data, offsets = utf8(docs.column("text"))
@@ -254,13 +274,14 @@ def remove_repeats(documents: DataFrame, window: int = 13) -> DataFrame:
     with a smaller doc_id; windows are judged on the input.  ``kept_text`` keeps the white space
     before each kept word, ``kept_sha256`` is of the kept words joined by one space.  A null or
     empty text has no words (kept_text stays null if it was).  Repeats inside one document, and
-    among rows with the same doc_id, stay.  Texts without a doc_id are left whole.  Other columns
-    are ignored; an empty table gives an empty result."""
+    among rows with the same doc_id, stay.  Texts without a doc_id are left whole and take part in
+    nothing.  Other columns are ignored; an empty table gives an empty result."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    groups, bits = _layout(docs)
+    named = docs.filter("doc_id is not null")
+    groups, bits = layout(named.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     block = (window + 1) // 2
-    docs = docs.withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
-    owned = docs.filter("doc_id is not null and text is not null")
+    named = named.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))  # rows of one doc_id spread, too
+    owned = named.filter("text is not null")
     probes = owned.select("grp", "text").mapInArrow(_probes(block, bits), "bucket long, grp long, packed binary")
     hits = stage(probes.groupBy("bucket").applyInArrow(_hits, "bucket long, grp long, hits binary"), "anchors")
     release()
@@ -270,5 +291,7 @@ def remove_repeats(documents: DataFrame, window: int = 13) -> DataFrame:
         .applyInArrow(_windows(window, block, bits), "bucket long, grp long, prints binary, docs binary, several binary")
     )
     replies = stage(windows.groupBy("bucket").applyInArrow(_earliest, "grp long, prints binary, docs binary"), "repeats")
+    discard(hits)
     release()
-    return docs.groupBy("grp").cogroup(replies.groupBy("grp")).applyInArrow(_cut(window), _OUT)
+    nameless = docs.filter("doc_id is null").mapInArrow(_whole(window), _OUT)
+    return named.groupBy("grp").cogroup(replies.groupBy("grp")).applyInArrow(_cut(window), _OUT).unionByName(nameless)
