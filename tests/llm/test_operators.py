@@ -115,6 +115,22 @@ def test_substring_dedup(docs, texts):
         assert {p for s in r.repeats for p in range(s.first_word, s.first_word + s.n_words)} == gone
 
 
+def test_substring_dedup_with_many_groups(spark, docs, monkeypatch):
+    """Groups and buckets beyond 2^17, as terabytes have: the same rows as with few."""
+    docs = docs.filter("length(text) < 400 and doc_id < 120")
+    few = sorted(map(tuple, substring_dedup.remove_repeats(docs).select("doc_id", "n_removed", "kept_sha256").collect()), key=str)
+    monkeypatch.setattr(substring_dedup, "layout", lambda size: (1 << 20, 20))
+    many = sorted(map(tuple, substring_dedup.remove_repeats(docs).select("doc_id", "n_removed", "kept_sha256").collect()), key=str)
+    assert many == few and any(r[1] for r in few)
+
+
+def test_layout_keeps_packets_large():
+    for size in (0, 1, 10**9, 30 * 10**9, 10**14):
+        groups, bits = substring_dedup.layout(size)
+        assert groups <= 1 << bits < 4 * groups and size / groups / (1 << bits) >= substring_dedup.PACKET_BYTES / 4 or size < 10**13
+    assert substring_dedup.layout(10**14)[0] < 700_000
+
+
 @pytest.mark.parametrize("block", [50_000, 3])
 def test_decontamination(spark, docs, texts, block, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
@@ -151,8 +167,8 @@ def test_blocks_of_items_change_nothing(spark, monkeypatch):
         results.append(sorted((r.asDict(recursive=True) for r in rows), key=str))
     assert results[0] == results[1] == results[2]
     got = [(r["doc_id"], r["n_words"], [(s["first_word"], s["n_words"]) for s in r["spans"]], r["items"]) for r in results[0]]
-    want = [(1, 15, [(2, 13)], ["a", "b"]), (1, 40, [(2, 23)], ["a", "b"]), (1, 40, [(2, 23)], ["a", "b"]), (2, 0, [], []), (2, 2, [(0, 2)], ["c"])]
-    assert sorted(got) == want
+    want = [(1, 15, [(2, 13)], ["a", "b"]), (1, 40, [(2, 23)], ["a", "b"]), (1, 40, [(2, 23)], ["a", "b"]), (2, 0, [], []), (2, 2, [(0, 2)], ["c"]), (None, 40, [(2, 23)], ["a", "b"])]
+    assert sorted(got, key=str) == want
 
 
 def test_proximity(spark):
@@ -352,5 +368,7 @@ def test_repeated_rows_and_missing_ids(spark):
     df = spark.createDataFrame([(1, text), (1, text), (2, text), (None, text), (3, None)], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in jaccard_join.jaccard_components(df).collect()) == [(0, 1), (1, 1), (1, 1), (2, 1), (3, 3)]
     assert sorted((r.doc_id or 0, r.n_removed) for r in substring_dedup.remove_repeats(df).collect()) == [(0, 0), (1, 0), (1, 0), (2, 40), (3, 0)]
+    nameless = substring_dedup.remove_repeats(df.filter("doc_id is null")).first()
+    assert (nameless.n_words, nameless.kept_text) == (40, text)
     path = public_tokenizers.path("word_bpe_49k.json")
     assert packing.pack_documents(df, path).count() == 5
