@@ -1,7 +1,8 @@
 """Token counts by separator scan of flat, unindexed token files.
 
-A flat file is token ids and nothing else, each document followed by an end-of-document id; it
-is stored as blocks of equal size that cut documents anywhere.  Each block is searched for the
+A flat file is token ids and nothing else, each document followed by an end-of-document id, in
+ascending doc_id order; it is stored as blocks of equal size that cut documents anywhere, one row a
+block of a Parquet container, so that any store Spark reaches can hold it.  Each block is searched for the
 end id at once; a prefix scan over the blocks' summaries (tokens, ends, place of the last end)
 gives every block its place, the number of documents before it, and where its first document
 began, perhaps many blocks earlier.  The scan runs per file and then over the files, so no task
@@ -81,12 +82,16 @@ def _tokenize(path: str, end_id: int, dtype: str, block_tokens: int):
 
 
 def tokenize_flat(documents: DataFrame, tokenizer: str, end_id: int, path: str, block_tokens: int = BLOCK_TOKENS) -> str:
-    """Writes whole texts (null: empty) as flat files, one a task, in the order in which the table is read.
+    """Writes whole texts (null: empty) as flat files, one a task, in ascending order of doc_id.
 
-    Nothing is shuffled.  The files have no index; which document stands where in the order is kept
-    in rows of their own (docs) for whoever wants names.  Returns the type of the ids."""
+    Rows without a doc_id come first; rows of one doc_id follow each other by their text's hash.  So
+    the files say the same however the table was split.  They have no index; which document stands
+    where in the order is kept in rows of their own (docs) for whoever wants names.  Returns the
+    type of the ids."""
     dtype = id_type(tokenizer)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    by = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc())
+    docs = docs.repartitionByRange(*by).sortWithinPartitions(*by)
     docs.mapInArrow(_tokenize(tokenizer, end_id, dtype, block_tokens), f"{_FLAT}, docs array<long>").write.option("compression", "zstd").parquet(path)
     return dtype
 

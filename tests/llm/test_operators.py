@@ -289,7 +289,22 @@ def test_flat_files_name_every_document(spark, docs, texts, tmp_path):
     n = {r.ordinal: r.n_tokens for r in token_counts.count_tokens(flat.filter("data is not null"), 50256, dtype).collect()}
     got = {r.doc_id: n[r.ordinal] for r in token_counts.document_order(flat).collect()}
     library = tokens.Encoder(path).library
-    assert got == {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    want = {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert got == want
+    assert {r.doc_id: r.ordinal for r in token_counts.document_order(flat).collect()} == {i: i for i in want}
+
+
+def test_flat_files_do_not_depend_on_the_split(spark, tmp_path):
+    rows = [(k % 5 if k % 7 else None, f"w{k} " * (k % 4)) for k in range(30)] + [(4, None), (4, "")]
+    df, results = spark.createDataFrame(rows, "doc_id long, text string"), []
+    for n in (1, 4):
+        token_counts.tokenize_flat(df.repartition(n), public_tokenizers.path("byte_bpe_50k.json"), 50256, f"{tmp_path}/{n}", 16)
+        flat = spark.read.parquet(f"{tmp_path}/{n}")
+        counts = token_counts.count_tokens(flat.filter("data is not null"), 50256, "<u2")
+        found = counts.join(token_counts.document_order(flat), "ordinal").select("ordinal", "doc_id", "start", "n_tokens")
+        results.append(sorted(map(tuple, found.collect())))
+    assert results[0] == results[1] and len(results[0]) == len(rows)
+    assert [r[1] for r in results[0]] == sorted((i for i, _ in rows), key=lambda i: -1 if i is None else i)
 
 
 def test_language_accuracy_and_undetermined(spark):
@@ -351,6 +366,20 @@ def test_url_filters(spark):
     assert got == {i: b for i, (_, _, b) in enumerate(cases)}
 
 
+def test_patterns_of_any_depth(spark):
+    labels, steps = ".".join(f"l{i}" for i in range(40)), "/".join(f"s{i}" for i in range(40))
+    entries = spark.createDataFrame([("domain", labels, "2024-01-01", "add"), ("prefix", f"h.x/{steps}", "2024-01-01", "add")], "kind string, pattern string, day string, action string").withColumn("day", F.to_date("day"))
+    cases = [(f"http://a.{labels}/", True), (f"http://{labels}", True), (f"http://{labels[1:]}", False), (f"http://h.x/{steps}/more", True), (f"http://h.x/{steps}9", False)]
+    captures = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(cases)], "page_id long, url string").withColumn("fetched", F.to_date(F.lit("2024-05-01")))
+    got = {r.page_id: r.blocked for r in url_filters.filter_urls(captures, entries).collect()}
+    assert got == {i: b for i, (_, b) in enumerate(cases)}
+    clash = captures.withColumns({"kind": F.lit("x"), "pattern": F.lit("y"), "key": F.lit(1), "at": F.lit("z")})
+    again = url_filters.filter_urls(clash.union(clash), entries)
+    assert again.count() == 2 * len(cases) and again.filter("blocked").count() == 6
+    assert url_filters.filter_urls(captures, entries.limit(0)).filter("blocked").count() == 0
+    assert url_filters.filter_urls(captures.limit(0), entries).count() == 0
+
+
 def test_empty_tables(spark, empty, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     token_files.encode_corpus(empty, path, f"{tmp_path}/none", 0)
