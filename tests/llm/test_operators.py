@@ -358,6 +358,105 @@ def test_html_tells_siblings_of_one_style_apart(spark):
     assert [got[10 + i] for i in range(5)] == ["\n\n".join(f"story {i} part {k} of it" for k in range(i + 1)) for i in range(5)]
 
 
+def merged_tree(pages, gamma):
+    """The importance of all branches of one host's pages, merged one by one: {(steps from the root): importance}."""
+    from math import log
+
+    seen, texts, ways = Counter(), {}, {}
+    for page in pages:
+        below = {}
+        for k in page.judged():
+            e, child = page.owner[k], ("", k)
+            while child not in below.setdefault(e, []):
+                below[e].append(child)
+                e, child = page.parents[e], (page.styles[e], e)
+                if child[1] == 0:
+                    break
+
+        def walk(e, at):
+            seen[at] += 1
+            names = [name for name, _ in below[e]]
+            steps = tuple(n for i, n in enumerate(names) if i == 0 or n != names[i - 1])
+            ways.setdefault(at, Counter())[steps] += 1
+            run, j = 0, 0
+            for i, (name, x) in enumerate(below[e]):
+                if i:
+                    run, j = (run, j + 1) if name == names[i - 1] else (run + 1, 0)
+                here = (*at, (steps, run, j))
+                if name:
+                    walk(x, here)
+                else:
+                    seen[here] += 1
+                    texts.setdefault(here, Counter())[page.text[x]] += 1
+
+        if below:
+            walk(0, ())
+    out = {}
+
+    def spread(counts, m):
+        return sum(k / m * log(k) / log(m) for k in counts.values()) if m > 1 else 0.0
+
+    for at in sorted(seen, key=len, reverse=True):
+        m = seen[at]
+        if at in texts:
+            out[at] = 1 - spread(texts[at], m) * (1 - 1 / m**2)
+            continue
+        total, share = 0.0, gamma ** len(ways[at])
+        for steps, k in ways[at].items():
+            own = [x for x in seen if len(x) == len(at) + 1 and x[:-1] == at and x[-1][0] == steps]
+            total += k / m * sum(seen[x] * out[x] for x in own) / sum(seen[x] for x in own)
+        out[at] = (1 - share) * (1 - spread(ways[at], m)) + share * total
+    return out
+
+
+def test_style_tree_against_brute_force(spark):
+    rng = random.Random(8)
+    markup = []
+    for i in range(12):
+        menu = "".join(f"<a>{x}</a> <b>!</b>" for x in ("home", "news"))
+        story = "".join(rng.choice([f"<p>own {i} {j}</p>", f"<ul><li>item {rng.randint(0, 3)}<li>x</ul>", "<p>told everywhere</p>", f"loose text {rng.randint(0, 2)}<br>"]) for j in range(rng.randint(1, 5)))
+        side = rng.choice(["", "<div class=x><p>see too</p><p>and this</p></div>", f"<div class=x><p>see {i}</p></div>"])
+        deep = "<div>" * (i % 4) + f"<span>deep {i % 2}</span>" + "</div>" * (i % 4)
+        markup.append(f"<body><div class=top>{menu}</div><div class=mid>{story}</div>{side}{deep}</body>")
+    df = spark.createDataFrame([(i, f"http://h.x/{i}", m) for i, m in enumerate(markup)], "page_id long, url string, html string")
+    want = merged_tree([html_extract.Page(m) for m in markup], html_extract.GAMMA)
+    got = html_extract.style_tree(df).collect()
+    assert sorted(round(r.importance, 9) for r in got) == sorted(round(x, 9) for x in want.values())
+    assert sum(r.leaf for r in got) == sum(not any(y[: len(x)] == x and y != x for y in want) for x in want)
+
+
+def test_tree_decides_where_no_element_names_the_article(spark, monkeypatch):
+    """Branches that every page fills alike go, with what little they have of their own; the tree off, they stay."""
+    rows, want = [], {}
+    for i in range(8):
+        menu = "".join(f"<li>entry {k}" for k in range(6))
+        foot = "".join(f"<p>imprint line {k}</p>" for k in range(12)) + f"<p>page built at 10:0{i}</p>"
+        story = [f"the story of page {i}, told in part {k}, in words that no other page has" for k in range(2 + i % 3)]
+        rows.append((i, "http://plain.x/", f"<body><div><ul>{menu}</ul></div><div>{''.join(f'<p>{t}</p>' for t in story)}</div><table><tr><td>{foot}</table></body>"))
+        want[i] = "\n\n".join(story)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"node": F.lit(1), "host": F.lit("clash"), "low": F.lit(2), "text": F.lit("t")})
+    results = []
+    for most in (html_extract.SENT_NODES, 0):
+        monkeypatch.setattr(html_extract, "SENT_NODES", most)
+        results.append({r.page_id: r.text for r in html_extract.extract_text(df.union(df)).collect()})
+    assert results[0] == results[1] == want
+    off = {r.page_id: r.text for r in html_extract.extract_text(df, threshold=-1.0).collect()}
+    assert all(off[i] != want[i] for i in want)
+
+
+def test_names_do_not_rule_out_what_holds_the_text(spark):
+    cases = [
+        "<div class='layout no-sidebar'><article><p>the text</p></article></div>", "<form id=aspnetForm><article><p>the text</p></article><input value=x></form>", "<div class='post comments-open'><p>the text</p></div>",
+        "<div class=has-header><p>the text</p></div>", "<div class='ad-free'><p>the text</p></div>", "<div id=search-results><p>the text</p></div>", "<article><p class='share-price'>the text</p></article>",
+        "<form id=aspnetForm><div><p>the text</p></div></form>", "<div class=search><main><p>the text</p><div class='ad-banner'>buy</div></main></div><div class=related><article>more</article></div>",
+        "<article><header class=entry-header>the text</header><div class='comment-list'><article>me too</article></div><p hidden>no</p></article><div id=siteFooter>f</div>", "<div>" * 5000 + "the text" + "</div>" * 5000,
+        "<div class=main-nav>menu</div><div><p>the text</p></div><div class='cookie_notice'>c</div><section class=comments><p>me</p></section>",
+    ]
+    df = spark.createDataFrame([(i, f"http://h{i}.x/", f"<body>{c}</body>") for i, c in enumerate(cases)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_text(df).collect()}
+    assert got == dict.fromkeys(range(len(cases)), "the text")
+
+
 def test_url_filters(spark):
     entries = spark.createDataFrame([("domain", "b.c", "2024-01-10", "add"), ("domain", "b.c", "2024-03-05", "remove"), ("domain", "b.c", "2024-03-05", "add"), ("prefix", "x.y/p", "2024-02-01", "add"), ("host", "x.y", "2024-02-03", "remove"), (None, "q", "2024-01-01", "add")], "kind string, pattern string, day string, action string").withColumn("day", F.to_date("day"))
     cases = [("http://u@A.b.c:80/z?q", "2024-01-10", True), ("//b.c", "2024-01-09", False), ("https://b.c/", "2024-03-04", True), ("https://b.c/", "2024-03-05", False), ("http://ab.c", "2024-02-01", False), ("http://x.y/p/r", "2024-06-01", True), ("http://x.y/pq", "2024-06-01", False), (None, "2024-06-01", False), ("no url", "2024-06-01", False), ("http://b.c", None, False)]
