@@ -2,10 +2,15 @@
 
 Documents over the capacity are cut into full pieces and a rest.  Large pieces, sorted by length,
 are dealt into groups of equal cardinality and each length is rounded up to its group's largest,
-which leaves few sizes.  Configurations of these sizes are enumerated and used as often as the
-demand allows, by two rules (fullest first; fullest with the largest size left first) and several
-numbers of groups; the plan with the fewest sequences is kept.  Then the actual lengths take the
-rounded ones' places, which only frees room, and small pieces go best-fit into what is left.
+which leaves few sizes.  Which configurations of these sizes to use, and how often, is a linear
+program; it is solved by column generation (a basis of configurations, and a knapsack that finds the
+one to bring in).  Whole multiples are taken, and the actual lengths take the rounded ones' places,
+which only frees room.  Pieces that the fractions leave over are few: sequences are filled from
+them one pattern at a time, the largest piece with the subset of the others that leaves least room.
+Small pieces go best-fit into what is left.  Several numbers of groups are tried, the last with a
+group a length, which rounds nothing and has too many sizes for the program, so that all of it is
+filled by patterns.  The plan with the fewest sequences is kept; one that meets the lower bound (all
+tokens over the capacity) ends the search.
 
 The plan needs the histogram of lengths only, at most ``capacity`` numbers, so its size has a bound
 that doesn't grow with the input.  It says, for a run of the pieces of one length, in which run of
@@ -14,11 +19,10 @@ sequences and where they go; every piece then finds its place by its rank among
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +34,10 @@ from pyspark.sql import functions as F
 from factline.llm._common import stage
 from factline.llm.tokens import Encoder
 
-#: Groups and the smallest share of the capacity that counts as large, as tried.
-SCHEMES = ((12, 4), (24, 4), (40, 3), (80, 2))
+#: Groups (0: one a length) and the smallest share of the capacity that counts as large, as tried.
+SCHEMES = ((24, 4), (100, 8), (0, 8), (0, 64))
+#: Exchanges in the basis, a group; the solution is used as far as it has come by then.
+EXCHANGES = 30
 Entry = tuple[int, int, int, int, int, int]  # length, first rank, pieces, first sequence, pieces a sequence, offset
 
 
@@ -79,71 +85,135 @@ class _Bins:
             self.add(room, first, count)
 
 
-def _configurations(sizes: list[int], demand: list[int], most: int, capacity: int, by_largest: bool) -> Iterator[tuple[tuple[int, ...], int]]:
-    """(groups, times): configurations that use up the demand."""
-    left = list(demand)
-    patterns = []
-    for k in range(1, most + 1):
-        for p in combinations_with_replacement(range(len(sizes)), k):
-            total = sum(sizes[g] for g in p)
-            if total <= capacity:
-                patterns.append((p[0] if by_largest else 0, -total, k, p))
-    heapq.heapify(patterns)
-    while patterns:
-        p = heapq.heappop(patterns)[3]
-        times = min(left[g] // p.count(g) for g in p)
-        if times:
-            for g in p:
-                left[g] -= times
-            yield p, times
-
-
-def _scheme(counts: dict[int, int], capacity: int, groups: int, share: int, by_largest: bool) -> _Bins:
+def _knapsack(sizes: list[int], values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The configuration of the greatest value, sizes used as often as wanted."""
+    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    for i, (s, v) in enumerate(zip(sizes, values, strict=True)):
+        for a in range(s, capacity + 1, s) if v > 0 else ():
+            here = best[a : a + s]
+            more = best[a - s : a - s + len(here)] + v
+            better = more > here + 1e-12
+            here[better] = more[better]
+            last[a : a + s][better] = i
+    used, c = np.zeros(len(sizes)), capacity
+    while last[c] >= 0:
+        used[last[c]] += 1
+        c -= sizes[last[c]]
+    return float(used @ values), used
+
+
+def optimise(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[list[int], int]]:
+    """(groups, times): configurations of the linear program's solution, as often as whole numbers go."""
+    n = len(sizes)
+    basis, x = np.diag([float(capacity // s) for s in sizes]), np.array([d / (capacity // s) for s, d in zip(sizes, demand, strict=True)])
+    for _ in range(EXCHANGES * n):
+        value, new = _knapsack(sizes, np.linalg.solve(basis.T, np.ones(n)), capacity)
+        if value <= 1 + 1e-9:
+            break
+        step = np.linalg.solve(basis, new)
+        ratio = np.where(step > 1e-9, x / np.where(step > 1e-9, step, 1), np.inf)
+        out = int(np.argmin(ratio))
+        basis[:, out] = new
+        x = x - ratio[out] * step
+        x[out] = ratio[out] if np.isfinite(ratio[out]) else 0.0
+        x = np.maximum(x, 0)
+    left, found = list(demand), []
+    for k in np.argsort(-x):
+        config = [g for g in range(n) for _ in range(int(round(basis[g, k])))]
+        times = min([int(x[k] + 1e-6), *(left[g] // c for g, c in Counter(config).items())])
+        if times > 0:
+            found.append((config, times))
+            for g, c in Counter(config).items():
+                left[g] -= c * times
+    return found
+
+
+def fills(counts: dict[int, int], capacity: int) -> Iterator[tuple[list[int], int]]:
+    """(lengths, times): the largest piece left with the subset of the others that leaves least room, until none is left."""
+    left = {n: c for n, c in sorted(counts.items(), reverse=True) if c}
+    while left:
+        first = next(iter(left))
+        room = capacity - first
+        reach, layers, full = 1, [], (1 << (room + 1)) - 1
+        for n, c in left.items():
+            for _ in range(min(c - (n == first), room // n)):
+                wider = (reach | reach << n) & full
+                if wider == reach:
+                    break
+                layers.append((n, reach))
+                reach = wider
+            if reach >> room:
+                break
+        total, chosen = reach.bit_length() - 1, [first]
+        for n, before in reversed(layers):
+            if not before >> total & 1:
+                chosen.append(n)
+                total -= n
+        used = Counter(chosen)
+        times = min(left[n] // k for n, k in used.items())
+        for n, k in used.items():
+            left[n] -= k * times
+            if not left[n]:
+                del left[n]
+        yield chosen, times
+
+
+def _substitute(bins: _Bins, queues: dict[int, list[tuple[int, int, int]]], config: list[int], times: int) -> None:
+    """The actual pieces of each place of a configuration, as runs of (length, first rank, pieces)."""
+    first = bins.open(times)
+    columns = []
+    for g in config:
+        need, column = times, []
+        while need:
+            length, rank, k = queues[g].pop()
+            use = min(k, need)
+            column.append([length, rank, use])
+            if k > use:
+                queues[g].append((length, rank + use, k - use))
+            need -= use
+        columns.append(column[::-1])
+    while times:
+        k = min(c[-1][2] for c in columns)
+        offset = 0
+        for c in columns:
+            length, rank, n = c[-1]
+            bins.plan.append((length, rank, k, first, 1, offset))
+            offset += length
+            c[-1] = [length, rank + k, n - k]
+            if n == k:
+                c.pop()
+        bins.add(bins.capacity - offset, first, k)
+        first, times = first + k, times - k
+
+
+def _scheme(counts: dict[int, int], capacity: int, groups: int, share: int) -> _Bins:
     bins = _Bins(capacity)
     large = [(n, counts[n]) for n in sorted(counts, reverse=True) if n * share > capacity]
-    total = sum(c for _, c in large)
-    each = max(1, -(-total // groups))
-    queues: list[list[tuple[int, int, int]]] = [[]]
+    each = max(1, -(-sum(c for _, c in large) // max(1, groups)))
+    queues: dict[int, list[tuple[int, int, int]]] = {0: []}
     room = each
     for length, count in large:
         rank = 0
         while count:
             if not room:
-                queues.append([])
+                queues[len(queues)] = []
                 room = each
             k = min(room, count)
-            queues[-1].append((length, rank, k))
+            queues[len(queues) - 1].append((length, rank, k))
             rank, count, room = rank + k, count - k, room - k
-    queues = [q for q in queues if q]
-    sizes = [q[0][0] for q in queues]
-    demand = [sum(k for _, _, k in q) for q in queues]
-    for q in queues:
-        q.reverse()
-    for config, times in _configurations(sizes, demand, share, capacity, by_largest):
-        first = bins.open(times)
-        columns = []
-        for g in config:  # the actual pieces of each place, as runs
-            need, column = times, []
-            while need:
-                length, rank, k = queues[g].pop()
-                use = min(k, need)
-                column.append([length, rank, use])
-                if k > use:
-                    queues[g].append((length, rank + use, k - use))
-                need -= use
-            columns.append(column[::-1])
-        while times:
-            k = min(c[-1][2] for c in columns)
-            offset = 0
-            for c in columns:
-                length, rank, n = c[-1]
-                bins.plan.append((length, rank, k, first, 1, offset))
-                offset += length
-                c[-1] = [length, rank + k, n - k]
-                if n == k:
-                    c.pop()
-            bins.add(capacity - offset, first, k)
-            first, times = first + k, times - k
+    if large and groups:
+        sizes = [q[0][0] for q in queues.values()]
+        demand = [sum(k for _, _, k in q) for q in queues.values()]
+        for q in queues.values():
+            q.reverse()  # its largest go last
+        for config, times in optimise(sizes, demand, capacity):
+            _substitute(bins, queues, config, times)
+    rest: dict[int, list[tuple[int, int, int]]] = {}
+    for q in queues.values():
+        for run in q:
+            rest.setdefault(run[0], []).append(run)
+    for lengths, times in fills({n: sum(k for _, _, k in runs) for n, runs in rest.items()}, capacity):
+        _substitute(bins, rest, lengths, times)
     for length in sorted(counts, reverse=True):
         if length * share <= capacity:
             bins.best_fit(length, 0, counts[length])
@@ -152,8 +222,13 @@ def _scheme(counts: dict[int, int], capacity: int, groups: int, share: int, by_l
 
 def plan(counts: dict[int, int], capacity: int) -> tuple[int, list[Entry]]:
     """Sequences and plan for so many pieces of each length (1 to capacity)."""
-    tries = [_scheme(counts, capacity, g, s, by) for g, s in SCHEMES for by in (False, True)]
-    best = min(tries, key=lambda b: b.n)
+    least, best = -(-sum(n * c for n, c in counts.items()) // capacity), None
+    for groups, share in SCHEMES:
+        bins = _scheme(counts, capacity, groups, share)
+        if best is None or bins.n < best.n:
+            best = bins
+        if best.n == least:
+            break
     return best.n, best.plan
 
 

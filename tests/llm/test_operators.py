@@ -232,6 +232,39 @@ def test_plan_places_everything_once():
         assert max(room.values()) <= 100 and len(room) == n and all(sorted(ranks[x]) == list(range(c)) for x, c in counts.items())
 
 
+def best_fit_decreasing(lengths, capacity):
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        room = min((r for r in rooms if r >= n), default=None)
+        if room is not None:
+            rooms.remove(room)
+        rooms.append((capacity if room is None else room) - n)
+    return len(rooms)
+
+
+@pytest.mark.parametrize(("low", "high", "slack"), [(600, 1500, 0.01), (1100, 2500, 0.01), (1, 4096, 0.03), (30, 60, 0.0)])
+def test_plan_needs_few_sequences(low, high, slack):
+    """No more than best-fit decreasing or filling pattern by pattern, and near the lower bound."""
+    rng = random.Random(low)
+    lengths = [rng.randint(low, high) for _ in range(1000)]
+    counts = Counter(lengths)
+    n, _ = packing.plan(counts, 4096)
+    by_fill = sum(times for _, times in packing.fills(counts, 4096))
+    simple = best_fit_decreasing(lengths, 4096)
+    assert -(-sum(lengths) // 4096) <= n <= min(by_fill, simple) and n <= (1 + slack) * -(-sum(lengths) // 4096) + 1
+    assert low < 600 or n < simple
+
+
+def test_configurations_solve_the_program():
+    """The textbook case: 97 of 45, 610 of 36, 395 of 31, 211 of 14 from rolls of 100 need 452.25 rolls."""
+    found = packing.optimise([45, 36, 31, 14], [97, 610, 395, 211], 100)
+    used = Counter()
+    for config, times in found:
+        assert sum((45, 36, 31, 14)[g] for g in config) <= 100
+        used.update({g: times * c for g, c in Counter(config).items()})
+    assert all(used[g] <= d for g, d in enumerate([97, 610, 395, 211])) and 449 <= sum(t for _, t in found) <= 453
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_tokens_are_the_librarys(name, texts):
     rng = random.Random(4)
