@@ -35,7 +35,7 @@ from factline.llm._common import stage
 from factline.llm.tokens import Encoder
 
 #: Groups (0: one a length) and the smallest share of the capacity that counts as large, as tried.
-SCHEMES = ((24, 4), (100, 8), (0, 8), (0, 64))
+SCHEMES = ((24, 4), (100, 8), (0, 8), (0, 4096))
 #: Exchanges in the basis, a group; the solution is used as far as it has come by then.
 EXCHANGES = 30
 Entry = tuple[int, int, int, int, int, int]  # length, first rank, pieces, first sequence, pieces a sequence, offset
