@@ -1,7 +1,7 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
 Every text is measured once.  Each measure's distribution over a language and source is kept as
-a histogram sketch with cells of 1/32 relative width: two sketches merge by adding cells, in any
+a histogram sketch with cells of 1/256 relative width: two sketches merge by adding cells, in any
 order and with the same result, so partial counts travel instead of rows, and the sketches of a
 language or of everything are sums of the finer ones.  A document fails a measure beyond
 ``q75 + REACH * max(q75 - q25, spread)`` of its own group (or below the mirrored fence, where low
@@ -25,9 +25,12 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 MIN_ROWS = 50
-REACH = 3
-#: measure, in thousandths: (least spread, whether low values are bad too)
-MEASURES = {"word_length": (1000, True), "symbols_per_word": (100, False), "repeated_lines": (100, False)}
+REACH = 5
+#: measure, in thousandths: (least spread, whether low values are bad too).  The least spread decides only where
+#: more than half of a group has the same value, as with measures that are mostly 0.
+MEASURES = {"word_length": (150, True), "symbols_per_word": (40, False), "repeated_lines": (60, False)}
+#: Groups whose thresholds are sent to every executor, some 100 bytes each; more are joined.
+SENT_GROUPS = 100_000
 
 
 def _let(value: Column, body) -> Column:
@@ -86,8 +89,8 @@ def _thousandths() -> dict[str, Column]:
 
 
 def cell(v: Column) -> Column:
-    """The lower end of the sketch's cell: exact below 32, then 1/32 of the value wide at most."""
-    shift = F.greatest(F.length(F.bin(v)) - 6, F.lit(0))
+    """The lower end of the sketch's cell: exact below 512, then 1/256 of the value wide at most."""
+    shift = F.greatest(F.length(F.bin(v)) - 9, F.lit(0))
     return F.floor(v / F.pow(F.lit(2.0), shift)).cast("long") * F.pow(F.lit(2.0), shift).cast("long")
 
 
@@ -134,7 +137,8 @@ def judge(documents: DataFrame) -> DataFrame:
     repeat a doc_id are judged each by itself.  A group whose documents all fail the base rules has
     no thresholds and needs none.  Other columns are ignored; an empty table gives an empty result."""
     measures = stage(measure(documents), "measures")
-    limits = thresholds(measures)
+    limits = stage(thresholds(measures), "limits")
+    limits = F.broadcast(limits) if limits.count() <= SENT_GROUPS else limits
     bad = F.lit(False)
     for name, value in _thousandths().items():
         bad = bad | F.coalesce(value > F.col(f"hi_{name}"), F.lit(False))

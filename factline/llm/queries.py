@@ -145,7 +145,7 @@ long as (
   select lang, source, 'word_length' as measure, word_length as v from m where not base_failed
   union all select lang, source, 'symbols_per_word', symbols_per_word from m where not base_failed
   union all select lang, source, 'repeated_lines', repeated_lines from m where not base_failed),
-cells as (select lang, source, measure, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) as cell from long),
+cells as (select lang, source, measure, (v >> greatest(length(bin(v)) - 9, 0)) << greatest(length(bin(v)) - 9, 0) as cell from long),
 levels as (
   select 1 as level, lang, source, measure, cell, count(*) as n from cells group by all
   union all select 2, lang, '', measure, cell, count(*) from cells group by lang, measure, cell
@@ -157,8 +157,8 @@ picked as (
   from q a join q b on a.level = 1 and b.level = 2 and a.lang = b.lang and a.measure = b.measure join q c on c.level = 3 and c.measure = a.measure),
 limits as (
   select lang, source,
-    max(case when measure = 'word_length' then q25 - 3 * greatest(q75 - q25, 1000) end) as lo_length, max(case when measure = 'word_length' then q75 + 3 * greatest(q75 - q25, 1000) end) as hi_length,
-    max(case when measure = 'symbols_per_word' then q75 + 3 * greatest(q75 - q25, 100) end) as hi_symbols, max(case when measure = 'repeated_lines' then q75 + 3 * greatest(q75 - q25, 100) end) as hi_lines
+    max(case when measure = 'word_length' then q25 - 5 * greatest(q75 - q25, 150) end) as lo_length, max(case when measure = 'word_length' then q75 + 5 * greatest(q75 - q25, 150) end) as hi_length,
+    max(case when measure = 'symbols_per_word' then q75 + 5 * greatest(q75 - q25, 40) end) as hi_symbols, max(case when measure = 'repeated_lines' then q75 + 5 * greatest(q75 - q25, 60) end) as hi_lines
   from picked group by all)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and not coalesce(word_length > hi_length or word_length < lo_length or symbols_per_word > hi_symbols or repeated_lines > hi_lines, false) as kept
