@@ -198,7 +198,7 @@ def _bounded(t: Fraction):
 
 
 def _tile_pairs(t: Fraction):
-    """One sub-tile pair (at most 2 * TILE rows): pairs of different components that the bounds allow."""
+    """One sub-tile pair (about 2 * TILE rows): pairs of different components that the bounds allow."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
@@ -273,6 +273,17 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, t: Fract
     return verified
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` and tile: sub-tiles of about TILE sets in order of set size.
+
+    Only the distinct sizes of a tile are ranked; sets of one size share their ranks by hash."""
+    sizes = rows.groupBy("key", "n").agg(F.count("*").alias("own"))
+    before = F.coalesce(F.sum("own").over(W.partitionBy("key").orderBy("n").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranks = sizes.withColumn("before", before)
+    rank = F.col("before") + F.pmod(F.xxhash64("doc_id"), F.col("own"))
+    return rows.join(ranks, ["key", "n"]).withColumn("tile", F.floor(rank / TILE)).select(*rows.columns, "tile")
+
+
 def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that links reach, itself included.
 
@@ -285,7 +296,8 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
     t = Fraction(*threshold)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = stage(docs.mapInArrow(_describe(k), _SET), "sets")
-    first = described.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
+    # staged, so that the join is one of plain exchanges, which Spark splits where one set has a third of all rows
+    first = stage(described.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "firsts")
     rep = stage(described.select("doc_id", "n", "f1", "f2").join(first, ["f1", "f2"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).alias("rep")), "reps")
     keyed = described.filter("bitmap is not null and doc_id is not null")
     dealt = docs.filter("doc_id is not null").mapInArrow(_deal(k, t), "key long, doc_id long")
@@ -304,7 +316,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
         keyed.select("doc_id", "n", "bitmap").join(of, "doc_id").groupBy("rep").agg(F.min("n").alias("n"), F.min("bitmap").alias("bitmap")).withColumnRenamed("rep", "doc_id"),
         "signatures",
     )
-    discard(described, shared)
+    discard(described, first, shared)
     tried = stage(tiles.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).distinct(), "tried")
     links = _verify(tried, sets, docs, k, t)
     comp = components(links)
@@ -320,7 +332,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
     )
     rest = stage(members.join(open_tiles, "key").select("key", "size", F.col("id").alias("doc_id"), "comp").join(sets, "doc_id"), "open")
     small = rest.filter(F.col("size") <= TILE).withColumn("tile", F.lit(0).cast("long"))
-    big = rest.filter(F.col("size") > TILE).withColumn("tile", F.floor((F.row_number().over(W.partitionBy("key").orderBy("n", "doc_id")) - 1) / TILE))
+    big = _ranked(rest.filter(F.col("size") > TILE))
     cut = small.unionByName(big)
     last = F.floor((F.col("size") - 1) / TILE)
     with_tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))

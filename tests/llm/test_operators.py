@@ -57,8 +57,9 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-@pytest.mark.parametrize(("k", "t"), [(4, (85, 100)), (5, (4, 5))])
-def test_jaccard_components(docs, texts, k, t):
+@pytest.mark.parametrize(("k", "t", "tile"), [(4, (85, 100), 512), (5, (4, 5), 3)])
+def test_jaccard_components(docs, texts, k, t, tile, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
     sets = []
     for x in texts:
         w = SPACE.findall(lower(x))
