@@ -69,6 +69,25 @@ _EXPECTED = [
     ("HH", "f1", "initial", "", ""), ("HH", "f2", "confirmation", "", ""), ("II", "f1", "initial", "", ""), ("II", "f2", "restatement", "", "rounding"),
 ]
 
+# Figures on the wrong year or span, and how each must be judged.
+_YEARS = {"A": ("2011-10-01", "2011-12-31"), "B": ("2012-10-01", "2012-12-31"), "C": (None, "2011-12-31"), "D": (None, "2012-12-31"), "E": ("2012-01-01", "2012-12-31"), "F": ("2011-01-01", "2011-12-31")}
+_WRONG = [  # case, concept, unit, period, value, filing, day, verdict
+    ("swap of instants", "Assets", "USD", "C", 25278e6, "f1", "2012-02-01", "initial"), ("swap of instants", "Assets", "USD", "D", 32555e6, "f2", "2013-02-01", "initial"),
+    ("swap of instants", "Assets", "USD", "C", 32555e6, "f3", "2014-02-01", "wrong"), ("swap of instants", "Assets", "USD", "D", 25278e6, "f3", "2014-02-01", "wrong"),
+    ("half swap", "Revenues", "USD", "A", 17431e6, "f1", "2012-02-01", "initial"), ("half swap", "Revenues", "USD", "A", 21268e6, "f2", "2013-01-30", "wrong"), ("half swap", "Revenues", "USD", "B", 17431e6, "f2", "2013-01-30", "wrong"),
+    ("half swap of instants", "Assets", "USD", "C", 17431e6, "f1", "2012-02-01", "initial"), ("half swap of instants", "Assets", "USD", "C", 21268e6, "f2", "2013-01-30", "wrong"), ("half swap of instants", "Assets", "USD", "D", 17431e6, "f2", "2013-01-30", "wrong"),
+    ("round figures prove nothing", "Shares", "shares", "A", 459e6, "f1", "2012-02-01", "initial"), ("round figures prove nothing", "Shares", "shares", "A", 460e6, "f2", "2013-01-30", "restatement"), ("round figures prove nothing", "Shares", "shares", "B", 459e6, "f2", "2013-01-30", "initial"),
+    ("taint of another concept", "Revenues", "USD", "A", 17431e6, "f1", "2012-02-01", "initial"), ("taint of another concept", "NetIncomeLoss", "USD", "A", 177e6, "f1", "2012-02-01", "initial"),
+    ("taint of another concept", "Revenues", "USD", "A", 21268e6, "f2", "2013-01-30", "wrong"), ("taint of another concept", "Revenues", "USD", "B", 17431e6, "f2", "2013-01-30", "wrong"),
+    ("taint of another concept", "NetIncomeLoss", "USD", "A", 97e6, "f2", "2013-01-30", "wrong"), ("taint of another concept", "NetIncomeLoss", "USD", "B", 177e6, "f2", "2013-01-30", "wrong"),
+    ("taint spares other spans", "Revenues", "USD", "A", 17431e6, "f1", "2012-02-01", "initial"), ("taint spares other spans", "Revenues", "USD", "A", 21268e6, "f2", "2013-01-30", "wrong"),
+    ("taint spares other spans", "Revenues", "USD", "B", 17431e6, "f2", "2013-01-30", "wrong"), ("taint spares other spans", "Revenues", "USD", "E", 61093e6, "f2", "2013-01-30", "initial"), ("taint spares other spans", "Assets", "USD", "C", 5.5e9, "f2", "2013-01-30", "initial"),
+    ("a copy of last year's value", "Revenues", "USD", "F", 100e6, "f1", "2012-02-01", "initial"), ("a copy of last year's value", "Revenues", "USD", "E", 120e6, "f2", "2013-02-01", "initial"),
+    ("a copy of last year's value", "Revenues", "USD", "F", 120e6, "f3", "2014-02-01", "restatement"), ("a copy of last year's value", "Revenues", "USD", "E", 120e6, "f3", "2014-02-01", "confirmation"),
+    ("a quarter's figure on the year", "Revenues", "USD", "E", 4167e6, "f1", "2013-02-01", "initial"), ("a quarter's figure on the year", "Revenues", "USD", "B", 2230e6, "f1", "2013-02-01", "initial"),
+    ("a quarter's figure on the year", "Revenues", "USD", "E", 2230e6, "f2", "2014-02-01", "wrong"), ("a quarter's figure on the year", "Revenues", "USD", "E", 4167e6, "f3", "2015-02-01", "confirmation"),
+]
+
 
 def _sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame:
     for t in tables:
@@ -101,6 +120,16 @@ def rule_cases(spark: SparkSession) -> DataFrame:
     return df.select("ticker", F.col("ticker").alias("entity_name"), F.lit("us-gaap").alias("taxonomy"), "concept", "unit", F.to_date("s").alias("period_start"), F.to_date("e").alias("period_end"), "value", "accn", F.lit("10-K").alias("form"), F.to_date("f").alias("filed"))
 
 
+def _wrong_periods(spark, d):
+    cases = {c: f"T{k}" for k, c in enumerate(dict.fromkeys(r[0] for r in _WRONG))}
+    rows = [(cases[c], c, "us-gaap", concept, unit, *_YEARS[p], v, a, "10-K", f) for c, concept, unit, p, v, a, f, _ in _WRONG]
+    df = spark.createDataFrame(rows, "ticker string, entity_name string, taxonomy string, concept string, unit string, s string, e string, value double, accn string, form string, f string")
+    df = df.withColumns({"period_start": F.to_date("s"), "period_end": F.to_date("e"), "filed": F.to_date("f")})
+    decided = reconcile(df).decided
+    verdict = F.when(F.col("reason") == "suspected_wrong_period", "wrong").otherwise(F.coalesce(F.concat_ws(" ", F.when(F.col("action") == "held", "held"), "reason"), F.lit("")))
+    return decided.select(F.col("entity_name").alias("case_name"), "concept", "period_start", "period_end", "accn", F.when(F.col("action") == "held", verdict).otherwise(F.col("action")).alias("verdict"))
+
+
 METRIC = ["ticker", "metric", "period_start", "period_end", "value", "known_from"]
 
 
@@ -131,7 +160,7 @@ def _rule_cases(spark, d):
 def _merge(spark, d):
     """Versions written and closed through the lake, read back."""
     lake = Lake(spark, (spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp()) + f"/lake-{abs(hash(d)) % 10**9}-{spark.sparkContext.startTime}-{id(object())}")
-    f = facts(spark, d).filter("concept = 'Revenues'").persist()
+    f = facts(spark, d).persist()
     none = f.limit(0).select("fact_key", "source_accn", "known_from", F.col("known_from").alias("known_to"))
     lake.merge_facts(none, f.filter("change_type = 'initial'").withColumn("known_to", F.lit(None).cast("date")))
     ends = f.filter("change_type = 'initial' and known_to is not null").select("fact_key", "source_accn", "known_from", "known_to")
@@ -163,11 +192,24 @@ def _differing(spark, d):
     return g.select("ticker", "period_end", "cur_then", "cur_now", research.cause().alias("cause"))
 
 
+# Faults for the gates: each nation has one of its own.
+FAULTY = f"""select case when concept = 'SalesRevenueNet' then 'twice' else version_id end as version_id, fact_key, ticker, entity_name, taxonomy, concept, case when ticker = 'NATION_9' then 'shares' else unit end as unit, period_start, period_end,
+ case when ticker = 'NATION_10' then cast(null as double) else value end as value, case when ticker = 'NATION_6' and concept = 'Assets' then cast(null as date) else known_from end as known_from,
+ case when ticker < 'NATION_2' then known_to + 10 when ticker = 'NATION_3' then known_from - 5 when ticker = 'NATION_4' then known_from + 1000 else known_to end as known_to,
+ source_accn, source_form, case when ticker = 'NATION_5' then 'odd' else change_type end as change_type from ({FACTS}) all_facts"""
+CHANGED = f"""select case when ticker = 'NATION_8' then 'same' else version_id end as change_id, case when ticker = 'NATION_7' then cast(null as varchar(10)) else 'why' end as explanation
+ from ({FACTS}) all_facts where change_type = 'restatement'"""
+
+
 def _report(spark, d):
-    f = facts(spark, d)
-    views = quality.history_views(f, as_observations(f), f.limit(0).select(F.lit("").alias("explanation"), F.lit("").alias("change_id")), LATER)
-    rows = quality.run_suites("post_publish", quality.POST[:4], views)
-    return spark.createDataFrame([(r["suite"], r["check"], r["failing_rows"]) for r in rows], "suite string, `check` string, failing_rows long")
+    """Every suite of the three gates, over tables with faults."""
+    tables = ("lineitem", "orders", "customer", "nation")
+    f, changes = fit(_sql(spark, d, FAULTY, *tables), "facts_history").persist(), _sql(spark, d, CHANGED, *tables)
+    o = as_observations(f).unionByName(as_observations(weeks(spark, d))).persist()
+    rows = quality.run_suites("pre_publish", quality.PRE, quality.batch_views(o, LATER))
+    views = quality.history_views(f, o.withColumn("value", F.when(F.col("ticker") != "NATION_11", F.col("value")).otherwise(F.col("value") + 1)), changes, LATER)
+    rows += quality.run_suites("post_publish", quality.POST, views) + quality.run_suites("reconciliation", quality.RECONCILIATION, views)
+    return spark.createDataFrame([(r["gate"], r["suite"], r["check"], r["column"], r["failing_rows"]) for r in rows], "gate string, suite string, `check` string, `column` string, failing_rows long")
 
 
 def _parity(spark, d):
@@ -194,7 +236,7 @@ def _currency(spark, d):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     h, f = history, facts
     return {
-        "versions_basic": _versions, "decisions": _decisions, "decisions_incremental": _incremental, "rule_cases": _rule_cases, "merge_facts": _merge,
+        "versions_basic": _versions, "decisions": _decisions, "decisions_incremental": _incremental, "rule_cases": _rule_cases, "wrong_period_cases": _wrong_periods, "merge_facts": _merge,
         "facts_as_of": lambda s, d: asof.facts_as_of(f(s, d), DAY).select("version_id", "value"),
         "facts_current": lambda s, d: asof.facts_current(f(s, d)).select("version_id", "value"),
         "metric_history": lambda s, d: h(s, d).select(*METRIC, "known_to", "priority", "period_type"),
@@ -243,9 +285,32 @@ def oracle_sql() -> dict[str, str]:
         "select ticker, accn, min(filed) as filed, min(value) as value, min(k) as k from (select ticker, accn, filed, value, (select count(distinct value) from obs o where o.ticker = p.ticker and o.accn = p.accn) as k from obs p) group by ticker, accn",
         "select ticker, accn, min(filed) as filed, min(value) as value, count(distinct value) as k from obs group by ticker, accn",
     )
+    step = """union all select s.ticker, s.i, s.accn, s.filed, s.value, case when s.value = w.cur then 'confirmation' when s.filed = w.since then 'held' else 'restatement' end,
+        case when s.value <> w.cur and s.filed > w.since then s.value else w.cur end, case when s.value <> w.cur and s.filed > w.since then s.filed else w.since end"""
+    part = lambda name, when: f"{name} as (select ticker, accn, min(filed) as filed, min(value) as value, count(distinct value) as k from obs where {when} group by ticker, accn)"
+    clash = lambda name, when: f"select distinct o.ticker, o.accn, o.value from obs o join {name} p on p.ticker = o.ticker and p.accn = o.accn and p.k > 1 where {when}"
+    early, late = "filed < date '1995-01-01'", "filed >= date '1995-01-01'"
+    # two batches, each folded by itself, the second from the state that the first leaves
+    incremental = f"""with recursive obs as ({LINES}), {part("p1", early)}, {part("p2", late)},
+      s1 as (select ticker, accn, filed, value, row_number() over (partition by ticker order by filed, accn) as i from p1 where k = 1),
+      w1 as (select ticker, i, accn, filed, value, 'initial' as action, value as cur, filed as since from s1 where i = 1 {step} from w1 w join s1 s on s.ticker = w.ticker and s.i = w.i + 1),
+      held as (select ticker, accn, value from w1 where action = 'held' union {clash("p1", "o." + early)}),
+      state as (select ticker, cur, since from w1 qualify row_number() over (partition by ticker order by i desc) = 1),
+      c2 as (select p2.*, w.value as was from p2 left join w1 w on w.ticker = p2.ticker and w.accn = p2.accn and w.action <> 'held' where k = 1),
+      s2 as (select ticker, accn, filed, value, row_number() over (partition by ticker order by filed, accn) as i from c2 where was is null),
+      f2 as (select s.*, t.cur, t.since from s2 s left join state t using (ticker) where i = 1),
+      w2 as (select ticker, i, accn, filed, value, case when cur is null then 'initial' when value = cur then 'confirmation' when filed = since then 'held' else 'restatement' end as action,
+          case when cur is null or value <> cur and filed > since then value else cur end as cur, case when cur is null or value <> cur and filed > since then filed else since end as since from f2
+        {step} from w2 w join s2 s on s.ticker = w.ticker and s.i = w.i + 1),
+      every as (select ticker, accn, value, action from w2 union all select ticker, accn, value, 'held' from c2 where was <> value union all select *, 'held' from ({clash("p2", "o." + late)}))
+      select case when e.action = 'held' and h.accn is not null then 'held_before' else e.action end as action, count(*) as n from every e left join held h using (ticker, accn, value) group by 1"""
     ratio = "coalesce(" + ", ".join(f"case when abs(big / {r} - small) <= 0.02 * small or (cents and abs(big / {r} - small) <= 0.0051) then {r} end" for r in numbers.SPLIT_RATIOS) + ")"
     factor = "coalesce(" + ", ".join(f"case when abs(big / {r} - small) <= 0.02 * small or abs(big / {r} - small) <= half then {r} end" for r in numbers.SCALE_FACTORS) + ")"
     places = "case " + " ".join(f"when abs(round(small, {k}) - small) <= 1e-12 then {k}" for k in range(7)) + " else 6 end"
+    even = lambda x, k: f"round_even({x}, {k})"
+    digits = lambda x: f"length(regexp_replace(replace(split_part(format('{{:.11e}}', abs({x})), 'e', 1), '.', ''), '^0+|0+$', '', 'g'))"
+    kept = lambda fine, coarse: "coalesce(" + ", ".join(f"case when abs({even(coarse, k)} - {coarse}) <= 1e-9 * greatest(1, abs({coarse})) then {even(fine, k)} end" for k in range(-9, 7)) + f", {even(fine, 6)})"
+    rounds = lambda fine, coarse: f"({digits(coarse)} >= 3 and abs({kept(fine, coarse)} - {coarse}) <= 1e-9 * greatest(1, abs({coarse})))"
     growth = f"""with {hist}, m as (select * from hist where metric = 'revenue' and period_type = 'quarter'),
       p as (select ticker, period_start, period_end, min(known_from) as first_published from m group by all),
       pairs as (select c.*, p.period_start as ps, p.period_end as pe from p c join p on p.ticker = c.ticker and c.period_end - p.period_end between 358 and 372 and abs((p.period_end - p.period_start) - (c.period_end - c.period_start)) <= 10),
@@ -257,12 +322,43 @@ def oracle_sql() -> dict[str, str]:
       g as (select *, 100 * (cur_then / prev_then - 1) as growth_then, 100 * (cur_now / prev_now - 1) as growth_now from v where prev_then > 0 and prev_now > 0 and cur_then is not null and cur_now is not null)"""
     k = "greatest(abs(cur_then / prev_then), abs(cur_now / prev_now)) / least(abs(cur_then / prev_then), abs(cur_now / prev_now))"
     mixed = " or ".join(f"abs({k} - {r}) <= 0.05 * {r}" for r in numbers.SPLIT_RATIOS)
+    batch = [  # suite, check, column, what fails of o
+        *[("observation_batch", "not_null", c, f"{c} is null") for c in ("ticker", "concept", "period_end", "value", "accn", "filed")],
+        ("observation_batch", "in_set", "taxonomy", "taxonomy not in ('us-gaap', 'ifrs-full', 'github')"), ("observation_batch", "matches_regex", "ticker", "not regexp_full_match(ticker, '[A-Z][A-Z.\\-]{0,9}')"),
+        ("observation_batch", "in_set", "unit_matches_config", "not case when taxonomy = 'github' then unit = 'commits' else exists (select 1 from concepts c where c.taxonomy = o.taxonomy and c.concept = o.concept and regexp_full_match(o.unit, c.unit_pattern)) end"),
+        ("observation_batch", "in_range", "period_days", "period_end - period_start + 1 < 1"), ("observation_batch", "in_range", "filing_lag_days", "filed - period_end < 0"), ("observation_batch", "in_range", "days_filed_in_future", f"filed - date '{LATER}' > 0"),
+        ("sec_filings", "matches_regex", "accn", "taxonomy in ('us-gaap', 'ifrs-full') and not regexp_full_match(accn, '\\d{10}-\\d{2}-\\d{6}')"), ("sec_filings", "in_set", "form", "taxonomy in ('us-gaap', 'ifrs-full') and form not in " + str(quality.FORMS)),
+        ("developer_activity", "matches_regex", "accn", "taxonomy = 'github' and not regexp_full_match(accn, 'gh-\\d{4}-\\d{2}-\\d{2}')"), ("developer_activity", "in_range", "period_days", "taxonomy = 'github' and period_end - period_start + 1 <> 7"), ("developer_activity", "in_range", "value", "taxonomy = 'github' and value < 0"),
+    ]
+    source = "(select fact_key, arg_max(case when ticker = 'NATION_11' then value + 1 else value end, (filed, accn)) as value from o where value is not null group by fact_key)"
+    silent = lambda tax, key: f"(select {key}, date '{LATER}' - max(filed) as days from o where {tax} group by {key})"
+    audits = [  # gate, suite, check, column, failing rows
+        ("pre_publish", "observation_batch", "columns_exist", None, "0"), ("pre_publish", "observation_batch", "row_count", None, "0"),
+        ("post_publish", "history_invariants", "unique", "version_id", "(select count(*) from (select 1 from f group by version_id having count(*) > 1))"), ("post_publish", "history_invariants", "not_null", "known_from", "(select count(*) from f where known_from is null)"),
+        ("post_publish", "history_invariants", "in_set", "change_type", "(select count(*) from f where change_type not in ('initial', 'restatement', 'manual_correction'))"),
+        ("post_publish", "exactly_one_current_version_per_fact", "in_range", "open_versions", "(select count(*) from (select 1 from f group by fact_key having count(*) filter (where known_to is null) <> 1))"),
+        ("post_publish", "no_empty_or_negative_intervals", "row_count", None, "(select count(*) from f where known_to <= known_from)"),
+        ("post_publish", "no_overlapping_versions", "row_count", None, "(select count(*) from f a join f b on a.fact_key = b.fact_key and a.version_id < b.version_id and a.known_from < coalesce(b.known_to, date '9999-12-31') and b.known_from < coalesce(a.known_to, date '9999-12-31'))"),
+        ("post_publish", "every_change_is_explained", "not_null", "explanation", "(select count(*) from log where explanation is null)"), ("post_publish", "every_change_is_explained", "unique", "change_id", "(select count(*) from (select 1 from log group by change_id having count(*) > 1))"),
+        ("post_publish", "every_company_is_fresh", "in_range", "days_since_last_filing", f"(select count(*) from {silent('taxonomy <> ' + chr(39) + 'github' + chr(39), 'ticker')} where days > 120)"),
+        ("post_publish", "developer_activity_is_fresh", "in_range", "days_since_last_collection", f"(select count(*) from {silent('taxonomy = ' + chr(39) + 'github' + chr(39), 'concept')} where days > 3)"),
+        ("reconciliation", "published_matches_source", "row_count_parity", None, f"abs((select count(*) from f where known_to is null) - (select count(*) from {source}))"),
+        ("reconciliation", "published_matches_source", "value_parity", None, f"(select count(*) from (select fact_key, value from f where known_to is null) a full join {source} b on a.fact_key = b.fact_key where a.fact_key is null or b.fact_key is null or a.value is distinct from b.value)"),
+    ]
+    text = lambda x: "null" if x is None else f"'{x}'"
+    audits += [("pre_publish", suite, check, column, f"(select count(*) from o where {bad})") for suite, check, column, bad in batch]
+    report = f"""with f as ({FAULTY}), {concepts}, log as ({CHANGED}), {weeks_}, every as (select * from f union all by name select * from weeks),
+      o as (select fact_key, ticker, taxonomy, concept, unit, period_start, period_end, value, source_accn as accn, source_form as form, known_from as filed from every) """
+    report += " union all ".join(f"select {text(g)} as gate, {text(s)} as suite, {text(c)} as \"check\", {text(col)} as \"column\", cast({n} as bigint) as failing_rows" for g, s, c, col, n in audits)
     expected = "select * from (values " + ", ".join(str(r) for r in _EXPECTED) + ") t(ticker, accn, action, reason, classification)"
     return {
         "versions_basic": walk + " select ticker, value, filed as known_from, lead(filed) over (partition by ticker order by i) as known_to, accn as source_accn, action as change_type from walk where action in ('initial', 'restatement')",
         "decisions": walk + " select action, reason, count(*) as n from walk group by all union all select 'held', 'conflict_within_filing', sum(k) from one where k > 1 having sum(k) > 0",
+        "decisions_incremental": incremental,
         "rule_cases": expected,
-        "merge_facts": f"with {facts_} select version_id, value, known_from, known_to, change_type from facts where concept = 'Revenues'",
+        "wrong_period_cases": "select case_name, concept, cast(s as date) as period_start, cast(e as date) as period_end, accn, verdict from (values " + ", ".join(
+            "(" + ", ".join("null" if x is None else "'" + x.replace("'", "''") + "'" for x in (c, concept, *_YEARS[p], a, verdict)) + ")" for c, concept, _, p, _, a, _, verdict in _WRONG) + ") t(case_name, concept, s, e, accn, verdict)",
+        "merge_facts": f"with {facts_} select version_id, value, known_from, known_to, change_type from facts",
         "facts_as_of": f"with {facts_} select version_id, value from facts where {on(DAY)}",
         "facts_current": f"with {facts_} select version_id, value from facts where known_to is null",
         "metric_history": f"with {hist} select {cols}, known_to, priority, period_type from hist",
@@ -290,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
           select a.fact_key, a.version_id as version_a, b.version_id as version_b from x a join x b on a.fact_key = b.fact_key and a.version_id < b.version_id and a.known_from < b.e and b.known_from < a.e""",
         "dq_freshness": f"with {facts_} select ticker, taxonomy, date '{LATER}' - max(known_from) as days_since_last_filing from facts group by ticker, taxonomy",
         "dq_collection": f"with {weeks_} select concept as repo, date '2024-03-01' - max(known_from) as days_since_last_collection from weeks group by concept",
-        "dq_check_report": "select * from (values ('history_invariants', 'unique', 0), ('history_invariants', 'not_null', 0), ('history_invariants', 'in_set', 0), ('exactly_one_current_version_per_fact', 'in_range', 0), ('no_empty_or_negative_intervals', 'row_count', 0), ('no_overlapping_versions', 'row_count', 0)) t(suite, \"check\", failing_rows)",
+        "dq_check_report": report,
         "value_parity": f"with {facts_} select c.fact_key, c.value as published, o.value as source from facts c left join facts o on o.fact_key = c.fact_key and o.change_type = 'initial' where c.known_to is null and (o.value is null or o.value <> c.value)",
         "developer_activity": f"with {weeks_} select ticker, concept as repo, period_start as week_start, value as commits from weeks where known_from <= date '2024-01-22'",
         "backfill_weeks": f"with {weeks_} select ticker, concept as repo, count(*) as weeks, min(period_start) as first_week, max(period_end) as last_week, min(known_from) as first_collected, count(*) filter (where known_from - period_end > 7) as backfilled_weeks from weeks group by all",
@@ -305,5 +401,7 @@ def oracle_sql() -> dict[str, str]:
           case when bool_or(taxonomy <> 'github') then length(ticker) end as cik from u group by ticker""",
         "split_detect": f"with p as ({_PAIRS}), x as (select *, greatest(abs(a), abs(b)) as big, least(abs(a), abs(b)) as small, unit = 'USD/shares' and least(abs(a), abs(b)) >= 0.10 as cents from p) select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when a <> 0 and b <> 0 then {ratio} end as ratio from x",
         "scale_jump": f"with p as ({_ORDERED}), x as (select *, greatest(a, b / 100) as big, least(a, b / 100) as small from p), y as (select *, 0.5 * pow(10.0, -({places})) as half from x) select l_orderkey, l_linenumber, l_partkey, l_suppkey, {factor} as factor from y",
+        "rounding_detect": f"""with p as ({_ORDERED}) select l_orderkey, l_linenumber, l_partkey, l_suppkey, a <> b and (a > 0) = (b > 0) and abs(b - a) <= 0.005 * greatest(abs(a), abs(b)) and ({rounds("a", "b")} or {rounds("b", "a")}) as same,
+          {digits("b")} as digits, length(regexp_replace(cast(cast(round_even(abs(b) * 100, 0) as decimal(38, 0)) as varchar), '0+$', '')) >= 4 as distinct_figure from p""",
         "period_types": f"with {facts_} select {kind} as period_type, count(*) as n from facts group by 1",
     }
