@@ -16,6 +16,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.codegen.wholeStage", "false")  # small tables: compiling would take most of the time
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
