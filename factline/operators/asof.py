@@ -98,13 +98,18 @@ def days_since_last_collection(observations: DataFrame, today) -> DataFrame:
     return observations.filter("taxonomy = 'github'").groupBy(F.col("concept").alias("repo")).agg(F.datediff(_day(today), F.max("filed")).cast("long").alias("days_since_last_collection"))
 
 
-def register(spark: SparkSession, facts: DataFrame, observations: DataFrame, concepts: DataFrame) -> None:
+def register(spark: SparkSession, facts: DataFrame, observations: DataFrame, concepts: DataFrame, today=None) -> None:
     """Views, and table functions that take a day, for Spark SQL."""
-    for name, df in (("facts_history", facts), ("observations", observations), ("metric_concepts", concepts), ("metric_history", metric_history(facts, concepts)), ("facts_current", facts_current(facts)), ("observations_latest", observations_latest(observations))):
+    day, history = _day(today) if today else F.current_date(), metric_history(facts, concepts)
+    views = {
+        "facts_history": facts, "observations": observations, "metric_concepts": concepts, "metric_history": history, "facts_current": facts_current(facts), "observations_latest": observations_latest(observations),
+        "dq_open_versions_per_fact": open_versions(facts), "dq_invalid_intervals": invalid_intervals(facts), "dq_overlapping_versions": overlapping_versions(facts),
+        "dq_days_since_last_filing": days_since_last_filing(observations, day), "dq_days_since_last_collection": days_since_last_collection(observations, day),
+    }
+    for name, df in views.items():
         df.createOrReplaceTempView(name)
     on = "known_from <= d and (known_to is null or known_to > d)"
     columns = lambda df: ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-    history = metric_history(facts, concepts)
     spark.sql(f"create or replace temporary function facts_as_of(d date) returns table ({columns(facts)}) return select * from facts_history where {on}")
     names = ", ".join(history.columns)
     best = "row_number() over (partition by ticker, metric, period_start, period_end order by priority, taxonomy, concept, unit, version_id)"
@@ -113,3 +118,15 @@ def register(spark: SparkSession, facts: DataFrame, observations: DataFrame, con
         f"create or replace temporary function developer_activity_as_of(d date) returns table (ticker string, repo string, week_start date, week_end date, commits double, collected_on date, change_type string) "
         f"return select ticker, concept, period_start, period_end, value, known_from, change_type from facts_history where taxonomy = 'github' and {on}"
     )
+    same = "q.ticker = y.ticker and q.metric = y.metric"
+    spark.sql(
+        f"""create or replace temporary function quarterly_as_of(d date)
+        returns table (ticker string, entity_name string, metric string, label string, kind string, unit string, period_start date, period_end date, value double, known_from date, source_form string, derived boolean)
+        return with m as (select * from metrics_as_of(d)), q as (select * from m where period_type = 'quarter'), y as (select * from m where period_type = 'annual' and kind = 'flow'),
+          open_years as (select y.* from y left anti join q on {same} and q.period_end = y.period_end)
+        select ticker, entity_name, metric, label, kind, unit, period_start, period_end, value, known_from, source_form, false from q
+        union all
+        select y.ticker, y.entity_name, y.metric, y.label, y.kind, y.unit, date_add(max(q.period_end), 1), y.period_end, y.value - sum(q.value), greatest(y.known_from, max(q.known_from)), 'derived: FY - Q1..Q3', true
+        from open_years y join q on {same} and q.period_start >= y.period_start and q.period_end < y.period_end
+        group by y.ticker, y.entity_name, y.metric, y.label, y.kind, y.unit, y.period_end, y.value, y.known_from having count(*) = 3"""
+    )

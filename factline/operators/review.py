@@ -37,7 +37,7 @@ def reject(lake: Lake, correction_id: str, reviewer: str, note: str = "") -> int
 
 
 def approve(lake: Lake, correction_id: str, reviewer: str, note: str, effective: date | None = None, today: date | None = None) -> int:
-    """Publishes the held value from ``effective`` (today if not given) on; all in one commit, undone if the audit fails."""
+    """Publishes the held value from ``effective`` (today if not given) on; all in one commit, made only if the audit passes."""
     if not (note or "").strip():
         raise ReviewError("a note is required")
     rows, c = _pending(lake, correction_id)
@@ -51,7 +51,7 @@ def approve(lake: Lake, correction_id: str, reviewer: str, note: str, effective:
     base = rows.withColumns({"recorded_at": F.lit(now), "run_id": F.lit(run)})
     day = F.lit(effective)
     version = base.select(
-        "*", F.col("proposed_value").alias("value"), day.alias("known_from"), F.lit(None).cast("date").alias("known_to"), F.col("accn").alias("source_accn"), F.concat(F.lit("manual review of "), "form").alias("source_form"),
+        "*", F.col("proposed_value").alias("value"), day.alias("known_from"), F.lit(None).cast("date").alias("known_to"), F.col("accn").alias("source_accn"), F.concat("form", F.lit(", as reviewed")).alias("source_form"),
         F.lit("manual_correction").alias("change_type"), stable_id(F.col("fact_key"), F.col("correction_id"), day, F.lit("manual_correction")).alias("version_id"),
     )
     old = (lambda n, t: F.lit(cur[n] if cur is not None else None).cast(t))
@@ -64,18 +64,15 @@ def approve(lake: Lake, correction_id: str, reviewer: str, note: str, effective:
         change = change.withColumn("old_value", F.lit(float("nan"))).withColumn("pct_change", F.lit(None).cast("double"))
     change = change.withColumns({
         "change_id": stable_id(F.col("fact_key"), F.col("correction_id"), F.lit("manual")), "effective_date": day, "old_accn": F.coalesce(old("source_accn", "string"), F.lit("")), "new_accn": F.col("accn"),
-        "new_form": F.concat(F.lit("manual review of "), F.col("form")),
+        "new_form": F.concat("form", F.lit(", as reviewed")),
     })
     decision = base.withColumns({"value": F.col("proposed_value"), "accn": F.concat(F.lit("manual:"), F.col("correction_id")), "form": F.lit("MANUAL"), "filed": day})
-    before = lake.version()
     closed = open_.withColumn("known_to", day)
-    done = lake.change(
+    base, files = lake.plan(
         {"change_log": fit(change, "change_log"), "observations": fit(decision, "observations")},
         {"facts_history": fit(closed, "facts_history").unionByName(fit(version, "facts_history")), "corrections": _decided(rows, "approved", reviewer, note, now)},
-        before,
     )
-    bad = failures(audit(lake.read("facts_history"), lake.read("observations"), lake.read("change_log"), today or now.date()))
+    bad = failures(audit(lake.of(files, "facts_history"), lake.of(files, "observations"), lake.of(files, "change_log"), today or now.date()))
     if bad:
-        lake.restore(before)
         raise GateFailed("review", bad)
-    return done
+    return lake.commit(base, files)

@@ -377,8 +377,8 @@ def oracle_sql() -> dict[str, str]:
           where n.change_type = 'restatement' and o.change_type = 'initial' and o.known_to is not null and n.known_from >= date '1994-01-01' and (o.value = 0 or abs(100 * (n.value - o.value) / abs(o.value)) >= 1)
           order by effective_date desc, n.ticker, fact_key limit 50""",
         "growth_then_vs_now": growth + " select ticker, period_end, first_published, round(growth_then, 4) as growth_then, round(growth_now, 4) as growth_now from g",
-        "growth_causes": growth + f""" select ticker, period_end, cur_then, cur_now, case when cur_then * cur_now > 0 and ({mixed}) then 'mixed share bases after a split'
-          when cur_now <> cur_then and prev_now <> prev_then then 'both years restated' when prev_now <> prev_then then 'prior year restated' else 'current year restated' end as cause from g where abs(growth_now - growth_then) > 1""",
+        "growth_causes": growth + f""" select ticker, period_end, cur_then, cur_now, case when cur_then * cur_now > 0 and ({mixed}) then 'a split lies between the two years'
+          when cur_now <> cur_then and prev_now <> prev_then then 'revised on both sides' when prev_now <> prev_then then 'base year revised' else 'latest year revised' end as cause from g where abs(growth_now - growth_then) > 1""",
         "observations_latest": f"with {facts_} select fact_key, arg_max(value, (known_from, source_accn)) as value from facts group by fact_key",
         "dq_open_versions": f"with {facts_} select fact_key, count(*) filter (where known_to is null) as open_versions from facts group by fact_key",
         "dq_invalid_intervals": f"with {facts_}, x as (select version_id, known_from, case when ticker < 'NATION_2' then known_to - 400 else known_to end as known_to from facts) select * from x where known_to <= known_from",

@@ -25,15 +25,14 @@ def load_state(lake: Lake, keys: DataFrame) -> tuple[DataFrame, DataFrame, DataF
 
 
 def ingest(lake: Lake, observations: DataFrame, source: str = "batch", today: date | None = None, rule: Callable = reconcile) -> dict:
-    """Publishes a batch.  A reader sees all of it or nothing: rows are written, audited, and undone by one
-    commit if the audit fails; results of checks and the run's row stay."""
+    """Publishes a batch.  A reader sees all of it or nothing: its files are written and audited, and only
+    then committed; results of checks and the run's row stay either way.  If another writer changed the
+    batch's tables meanwhile, the run fails and nothing of it is seen."""
     spark, started, run_id = lake.spark, datetime.now(UTC), uuid.uuid4().hex
     today = today or started.date()
     stats = {"run_id": run_id, "source": source, "status": "running"}
-    base = lake.version()
-    committed = False
+    kept = [observations.persist()]
     try:
-        observations = observations.persist()
         gate = quality.check_batch(observations, today)
         lake.append("dq_results", quality.as_rows(spark, gate, run_id, started))
         if bad := quality.failures(gate):
@@ -42,31 +41,26 @@ def ingest(lake: Lake, observations: DataFrame, source: str = "batch", today: da
         stats["observations_in"] = observations.count()
         seen, current, known = load_state(lake, observations.select("fact_key").distinct())
         result = rule(observations, seen, current, known, run_id, started)
-        result.decided.persist()
+        kept.append(result.decided.persist())
         stats |= result.counters()
-        lake.merge_facts(result.closures, result.versions, {"observations": result.records, "change_log": result.changes, "corrections": result.corrections}, base)
-        committed = True
-        after = quality.audit(lake.read("facts_history"), lake.read("observations"), lake.read("change_log"), today)
+        base, files = lake.plan_facts(result.closures, result.versions, {"observations": result.records, "change_log": result.changes, "corrections": result.corrections}, base)
+        after = quality.audit(lake.of(files, "facts_history"), lake.of(files, "observations"), lake.of(files, "change_log"), today)
         stats["dq_warnings"] = len(quality.failures(gate + after, "warn"))
-        bad = quality.failures(after)
-        if bad:
-            lake.restore(base)
-            committed = False
         lake.append("dq_results", quality.as_rows(spark, after, run_id, started))
-        if bad:
+        if bad := quality.failures(after):
             raise quality.GateFailed("audit", bad)
+        lake.commit(base, files)
         stats["status"], stats["message"] = "succeeded", ""
         return stats
     except Exception as e:
-        if committed:
-            lake.restore(base)
         stats["status"], stats["message"] = "failed", str(e)[:2000]
         raise
     finally:
         names = [c.split()[0] for c in RUNS.replace("\n", "").split(",")]
         row = {n: stats.get(n) for n in names} | {"started_at": started, "finished_at": datetime.now(UTC)}
         lake.append("pipeline_runs", fit(spark.createDataFrame([tuple(row[n] for n in names)], RUNS), "pipeline_runs"))
-        spark.catalog.clearCache()
+        for df in kept:
+            df.unpersist()
 
 
 def run(lake: Lake, paths: list[str], source: str = "replay", today: date | None = None) -> dict:
@@ -74,16 +68,16 @@ def run(lake: Lake, paths: list[str], source: str = "replay", today: date | None
     return ingest(lake, bronze.observations(bronze.read_payloads(lake.spark, paths)), source, today)
 
 
-def extract(source: str, root: str, tickers: list[str] | None = None, **options) -> list[str]:
+def extract(source: str, root: str, tickers: list[str] | None = None, client: bronze.Client | None = None, at: datetime | None = None) -> list[str]:
     """Paths to ingest, by source: sample, sec or github."""
     if source == "sample":
         return bronze.sample_files(root, tickers)
     if source == "sec":
         if not tickers:
             raise ValueError("source sec needs tickers")
-        return bronze.extract_filings(tickers=tickers, root=root, **options)
+        return bronze.extract_filings(tickers, root, client, at)
     if source == "github":
-        return bronze.extract_activity(root=root, **options)
+        return bronze.extract_activity(tickers, root, client, at)
     raise ValueError(f"unknown source {source}")
 
 

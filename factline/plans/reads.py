@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from factline.operators import asof
 
-REACH = 10_000
-
 
 def quarterly(history: DataFrame, ticker: str, metric: str, as_of) -> DataFrame:
     own = history.filter((F.col("ticker") == ticker.upper()) & (F.col("metric") == metric))
@@ -47,7 +45,7 @@ def changes(log: DataFrame, ticker: str | None = None, since=None, classificatio
     for column, value in (("ticker", ticker and ticker.upper()), ("classification", classification)):
         df = df.filter(F.col(column) == value) if value else df
     df = df.filter(F.col("effective_date") >= F.lit(since).cast("date")) if since else df
-    return df.orderBy(F.desc("effective_date"), "ticker", "change_id").limit(min(limit, REACH))
+    return df.orderBy(F.desc("effective_date"), "ticker", "change_id").limit(limit)
 
 
 def corrections(table: DataFrame, status: str | None = "pending") -> DataFrame:

@@ -1,17 +1,22 @@
 import datetime as dt
 import json
 import random
+import threading
+import urllib.error
+import urllib.request
 
 import pytest
 from pyspark.sql import functions as F
 
+from factline import cli
 from factline.config import metric_concepts
 from factline.functions import numbers, prose
 from factline.operators import asof, quality, review
 from factline.operators.versioning import reconcile
-from factline.plans import driver, pipeline, reads
-from factline.sources import bronze
+from factline.plans import driver, pipeline, reads, server
+from factline.sources import bronze, store
 from factline.sources.store import CommitConflict, Lake
+from factline.streaming import ingest as streaming
 
 
 def obs(rows):
@@ -144,18 +149,130 @@ def test_payloads(spark, tmp_path):
     rows = bronze.observations(bronze.read_payloads(spark, paths)).orderBy("taxonomy").collect()
     assert [(r.taxonomy, r.unit, r.value, str(r.period_end)) for r in rows] == [("github", "commits", 4.0, "2024-01-13"), ("us-gaap", "USD", 5.0, "2022-12-31")]
     assert bronze.sample_files(str(tmp_path)) == sorted(paths)
+    assert bronze.sample_files(f"file://{tmp_path}", ["9"]) == [] and [f.removeprefix("file:") for f in bronze.sample_files(f"file://{tmp_path}")] == sorted(paths)
     with pytest.raises(ValueError):
         pipeline.extract("sec", str(tmp_path))
 
 
 def test_client_waits_and_gives_up():
     answers, waits = iter([(429, b""), (200, b"[1]")]), []
+    with pytest.raises(bronze.RateLimited, match="GITHUB_TOKEN"):
+        bronze.GitHubClient(fetch=lambda u, h: (403, b"", {"X-RateLimit-Remaining": "0"}), sleep=waits.append).weeks("a/b")
+    with pytest.raises(OSError, match="later"):
+        bronze.GitHubClient(fetch=lambda u, h: (202, b""), sleep=waits.append).weeks("a/b")
+    with pytest.raises(ValueError):
+        bronze.Client("")
     assert bronze.Client("me", fetch=lambda u, h: next(answers), sleep=waits.append).get_json("u") == [1] and 1.0 in waits
     with pytest.raises(OSError):
         bronze.Client("me", fetch=lambda u, h: (404, b""), sleep=waits.append).get_json("u")
     assert pipeline.run_summary([{"status": "succeeded"}]) is None and not pipeline.alert("x", "http://x", lambda r: 1 / 0)
 
 
+def network(calls):
+    """Answers of both services for one company."""
+    fact = {"start": "2022-01-01", "end": "2022-12-31", "val": 5, "accn": "0000000001-23-000001", "fy": 2022, "fp": "FY", "form": "10-K", "filed": "2023-02-01"}
+    more = [fact, fact | {"val": 9, "accn": "0000000001-24-000001", "filed": "2024-02-01"}, fact | {"val": 10, "accn": "0000000001-24-000002", "filed": "2024-02-01"}]
+
+    def fetch(url, headers):
+        calls.append(url)
+        if url.endswith("company_tickers.json"):
+            return 200, json.dumps({"0": {"ticker": "nvda", "cik_str": 7}}).encode()
+        if "companyfacts" in url:
+            return 200, json.dumps({"cik": 7, "entityName": "N Corp", "facts": {"us-gaap": {"NetIncomeLoss": {"units": {"USD": more}}}}}).encode()
+        if calls.count(url) < 2:
+            return 202, b""
+        return 200, json.dumps([{"week": 1704585600, "total": 4, "days": []}]).encode()
+
+    return fetch
+
+
+def test_command_line_streams_and_http(spark, tmp_path, capsys):
+    lake, root, calls = str(tmp_path / "lake"), str(tmp_path / "bronze"), []
+    sec = bronze.SecClient("me me@x", fetch=network(calls), sleep=lambda s: None)
+    assert cli.main(["--lake", lake, "ingest", "--source", "sec", "--bronze", root, "NVDA", "NOPE"], spark, sec) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["restatements"] == 1
+    hub = bronze.GitHubClient(fetch=network(calls), sleep=lambda s: None)
+    at = dt.datetime(2024, 1, 20, tzinfo=dt.UTC)
+    first = pipeline.extract("github", root, ["NVDA"], hub, at)
+    before = len(calls)
+    assert len(first) == 2 and pipeline.extract("github", root, ["NVDA"], hub, at.replace(hour=9)) == first and len(calls) == before
+    # the same landed files as a stream: commits come in, filings are there already
+    streaming.follow(Lake(spark, lake), root, str(tmp_path / "checkpoint")).awaitTermination()
+    runs = Lake(spark, lake).read("pipeline_runs").orderBy("started_at").collect()
+    assert [(r.source, r.status, r.new_facts, r.already_seen) for r in runs] == [("sec", "succeeded", 1, 0), ("stream", "succeeded", 2, 2)]
+
+    def out(*args, code=0):
+        assert cli.main(["--lake", lake, *args], spark) == code
+        return capsys.readouterr().out
+
+    assert '"value": 5.0' in out("asof", "nvda", "net_income", "--as-of", "2023-06-01") and '"value": 9.0' in out("asof", "nvda", "net_income", "--period-type", "annual")
+    assert out("history", "nvda", "net_income", "2022-12-31").count("known_from") == 2
+    assert "(full year to 31 Dec 2022)" in out("changes", "--ticker", "nvda", "--min-pct", "50") and out("changes", "--min-pct", "90") == ""
+    held = json.loads(out("corrections", "list"))
+    assert held["reason_code"] == "same_day_conflict" and out("runs").count("run_id") == 2 and "Net income" not in out("study")
+    assert out("corrections", "approve", held["correction_id"], code=2) == out("corrections", "reject", "none", "--reviewer", "me", code=2) == ""
+    with pytest.raises(SystemExit):
+        cli.main(["--lake", lake, "changes", "--classification", "bogus"], spark)
+
+    made = server.make_server(Lake(spark, lake))
+    threading.Thread(target=made.serve_forever, daemon=True).start()
+
+    def get(path):
+        try:
+            with urllib.request.urlopen(f"http://127.0.0.1:{made.server_port}{path}", timeout=60) as r:
+                return r.status, json.loads(r.read())
+        except urllib.error.HTTPError as e:
+            return e.code, json.loads(e.read())
+
+    value = "/api/companies/NVDA/metrics/net_income"
+    assert get("/health")[1]["last_run"]["status"] == "succeeded" and len(get("/api/metrics")[1]) == 9
+    assert [(c["ticker"], c["name"], c["cik"]) for c in get("/api/companies")[1]] == [("NVDA", "Nvidia", 7)]
+    assert [r["value"] for r in get(f"{value}?as_of=2023-06-01")[1]] == [5.0] and get(f"{value}?as_of=2020-01-01") == (200, [])
+    assert [(r["value_before"], r["value_after"], r["classification"]) for r in get(f"{value}/compare?before=2023-06-01&after=2024-06-01")[1]] == [(5.0, 9.0, "restatement")]
+    assert len(get(f"{value}/history?period_end=2022-12-31")[1]) == 2 and get(f"{value}/quarterly")[0] == 200
+    assert len(get("/api/companies/NVDA/developer-activity")[1]) == 2 and len(get("/api/changes?limit=1000")[1]) == 1 and len(get("/api/runs")[1]) == 2
+    assert get("/api/corrections")[1][0]["reason"]
+    bad = ("/api/companies/NVDA/metrics/none", "/x", f"{value}/compare?before=2024-01-01&after=2023-01-01", "/api/changes?classification=x", "/api/changes?limit=1001", "/api/runs?limit=201", f"{value}?as_of=x")
+    assert [get(b)[0] for b in bad] == [404, 404, 422, 422, 422, 422, 422]
+    assert cli.main(["--lake", lake, "corrections", "reject", held["correction_id"], "--reviewer", "me"], spark) == 0
+    assert get("/api/corrections") == (200, []) and len(get("/api/corrections?status=rejected")[1]) == 1
+    made.shutdown()
+
+
+def test_two_writers(spark, tmp_path):
+    lake, other = Lake(spark, str(tmp_path / "lake")), Lake(spark, str(tmp_path / "lake"))
+    facts = driver.facts(spark, "/root/testdata/sf0.001").limit(20).persist()
+    none = facts.limit(0).select("fact_key", "source_accn", "known_from", "known_to")
+    start = lake.version()
+    plan = lake.plan_facts(none, facts)
+    assert lake.of(plan[1], "facts_history").count() == 20 and lake.read("facts_history").count() == 0  # seen by none before the commit
+    runs = other.read("pipeline_runs")
+    other.append("pipeline_runs", spark.createDataFrame([("r",) + (None,) * (len(runs.columns) - 1)], runs.schema))
+    lake.commit(*plan)  # another table changed: both stay
+    assert lake.read("facts_history").count() == 20 and lake.read("pipeline_runs").count() == 1
+    late = other.plan_facts(none, facts.withColumn("version_id", F.concat("version_id", F.lit("x"))), base=start)
+    with pytest.raises(CommitConflict):
+        other.commit(*late)
+    with pytest.raises(CommitConflict):
+        lake.restore(start, expect=start)
+    was = lake.version()
+    lake.restore(start, expect=was)
+    assert lake.read("facts_history").count() == 0 and lake.read("facts_history", was).count() == 20 and lake.read("pipeline_runs").count() == 1
+
+
+def test_buckets_grow_with_the_table(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    facts = driver.facts(spark, "/root/testdata/sf0.001").limit(40).persist()
+    none = facts.limit(0).select("fact_key", "source_accn", "known_from", "known_to")
+    lake.merge_facts(none, facts.withColumn("known_to", F.lit(None).cast("date")))
+    monkeypatch.setattr(store, "BUCKET_BYTES", 1)
+    ends = facts.filter("known_to is not null").select("fact_key", "source_accn", "known_from", "known_to")
+    lake.merge_facts(ends, facts)
+    assert lake.manifest()["_buckets"]["facts_history"] == 2 * store.BUCKETS
+    got, want = ({(r.version_id, r.known_to) for r in df.collect()} for df in (lake.read("facts_history"), facts))
+    assert got == want
+
+
 def test_reads_and_table_functions(spark):
     d = "/root/testdata/sf0.001"
     facts, concepts = driver.facts(spark, d), metric_concepts(spark)
@@ -163,5 +280,9 @@ def test_reads_and_table_functions(spark):
     by_sql = spark.sql(f"select * from metrics_as_of(date '{driver.LATER}')")
     assert by_sql.count() == asof.metrics_as_of(asof.metric_history(facts, concepts), driver.LATER).count() > 0
     h = asof.metric_history(facts, concepts)
+    quarters, own = spark.sql(f"select * from quarterly_as_of(date '{driver.LATER}')"), asof.quarterly_as_of(h, driver.LATER)
+    assert sorted(map(str, quarters.collect())) == sorted(map(str, own.select(quarters.columns).collect())) and own.filter("derived").count() > 0
+    assert spark.table("dq_open_versions_per_fact").filter("open_versions <> 1").count() == spark.table("dq_overlapping_versions").count() == 0
+    log = spark.range(12_000).select(F.col("id").cast("string").alias("change_id"), F.lit("A").alias("ticker"), F.lit(1.0).alias("pct_change"), F.current_date().alias("effective_date"))
+    assert reads.changes(log, limit=20_000).count() == 12_000
     assert reads.quarterly(h, "nation_3", "revenue", driver.LATER).filter("derived").count() > 0
-    assert json.loads("1") == 1
