@@ -93,11 +93,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Whole documents in runs of about CHUNK_BYTES: first document, bytes, offsets."""
+def chunks(data: np.ndarray, offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Whole documents in runs of about ``size`` bytes: first document, bytes, offsets."""
     first, n = 0, len(offsets) - 1
     while first < n:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 

@@ -30,6 +30,8 @@ from factline.llm._common import ALNUM, LOWER, chunks, hash_spans, owners, stage
 BLOCK_ITEMS = 50_000
 #: A block also ends where its texts reach so many bytes.
 BLOCK_BYTES = 16 << 20
+#: Text of a shard, about: small enough that its row is no outsized object for the JVM's collector.
+SHARD_BYTES = 256 << 10
 _SHARD = "rows binary, doc_ids array<long>, first binary, terms binary, counts binary, positions binary"
 
 
@@ -68,7 +70,7 @@ def _index(gap: int):
         for batch in batches:
             number = batch.column(2).to_numpy()
             data, offsets = utf8(batch.column(1))
-            for at, part, ends in chunks(data, offsets):
+            for at, part, ends in chunks(data, offsets, SHARD_BYTES):
                 part = LOWER[part]
                 starts, stops, first = word_spans(part, ends, ALNUM)
                 term, doc = hash_spans(part, starts, stops), owners(first)
