@@ -2,7 +2,9 @@
 
 The index is dealt by document: each shard (a run of whole documents) stores, for every term of
 its texts, the sorted positions of that term in the shard.  One pass over the texts writes it to
-the shared folder, whatever will be asked of it; nothing is shuffled.
+the shared folder, for all items that will be asked for; nothing is shuffled.  Terms that no item
+has are left out if the items' vocabulary is small enough to send (SENT_TERMS); it is the same index
+without them.
 
 Test items are the query set.  They are read in blocks of at most BLOCK_ITEMS items, one at a time,
 so that neither the driver nor a task ever holds more than a block.  For a block, the index's term
@@ -25,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factline.llm._common import ALNUM, LOWER, chunks, hash_spans, owners, stage, utf8, word_spans
+from factline.llm._common import ALNUM, LOWER, chunks, hash_spans, owners, signed, stage, utf8, word_spans
 
 BLOCK_ITEMS = 50_000
 #: A block also ends where its texts reach so many bytes.
 BLOCK_BYTES = 16 << 20
 #: Text of a shard, about: small enough that its row is no outsized object for the JVM's collector.
 SHARD_BYTES = 256 << 10
+#: Distinct terms of all items that are sent to every executor, 8 bytes each; beyond, the index has all terms.
+SENT_TERMS = 2_000_000
 _SHARD = "rows binary, doc_ids array<long>, first binary, terms binary, counts binary, positions binary"
 
 
@@ -63,8 +67,25 @@ class Queries:
         self.length = (self.windows >= 0).sum(1)
 
 
-def _index(gap: int):
-    """Documents -> shards: positions of each term, and the place of each document in them."""
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> their distinct terms."""
+    for batch in batches:
+        data, offsets = utf8(batch.column(0))
+        for _, part, ends in chunks(data, offsets):
+            part = LOWER[part]
+            starts, stops, _first = word_spans(part, ends, ALNUM)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(np.unique(hash_spans(part, starts, stops))))], ["term"])
+
+
+def vocabulary(benchmark: DataFrame) -> np.ndarray | None:
+    """The sorted terms of all items, or none if they are more than SENT_TERMS."""
+    terms = benchmark.filter("item_id is not null").select(F.col("text").cast("string")).mapInArrow(_terms, "term long").distinct()
+    found = terms.limit(SENT_TERMS + 1).toArrow().column(0).to_numpy()
+    return np.sort(found.astype(np.int64).view(np.uint64)) if len(found) <= SENT_TERMS else None
+
+
+def _index(gap: int, wanted):
+    """Documents -> shards: positions of each term (of the wanted ones, if any are given), and the place of each document in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,6 +96,9 @@ def _index(gap: int):
                 starts, stops, first = word_spans(part, ends, ALNUM)
                 term, doc = hash_spans(part, starts, stops), owners(first)
                 pos = np.arange(len(term)) + doc * gap  # no match can span two documents
+                if wanted is not None:
+                    known = _find(wanted.value, term)[1]
+                    term, pos = term[known], pos[known]
                 order = np.argsort(term, kind="stable")
                 own, count = np.unique(term, return_counts=True)
                 place = first + np.arange(len(first)) * gap
@@ -214,11 +238,11 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str | None]]]:
     yield block
 
 
-def build_index(documents: DataFrame, width: int = 10, slop: int = 0) -> DataFrame:
-    """The staged index of all texts, for windows of up to ``width`` words and that slop."""
+def build_index(documents: DataFrame, width: int = 10, slop: int = 0, terms: np.ndarray | None = None) -> DataFrame:
+    """The staged index of all texts, for windows of up to ``width`` words and that slop; of all terms if none are given."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("row", F.monotonically_increasing_id())  # kept in the index: rows may share a doc_id or have none
-    return stage(docs.mapInArrow(_index(_gap(width, slop)), _SHARD), "postings")
+    return stage(docs.mapInArrow(_index(_gap(width, slop), None if terms is None else docs.sparkSession.sparkContext.broadcast(terms)), _SHARD), "postings")
 
 
 def search_index(shards: DataFrame, items: list[tuple[str, str | None]], width: int, slop: int) -> DataFrame:
@@ -241,7 +265,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, width: int =
     text has no words; items without words match nothing, items with a null item_id are ignored,
     items that share an id count as one.  Every row gives a row, whether it repeats a doc_id or has
     none.  Other columns are ignored; empty tables give no matches."""
-    shards = build_index(documents, width, slop)
+    shards = build_index(documents, width, slop, vocabulary(benchmark))
     hits = reduce(DataFrame.unionByName, [search_index(shards, items, width, slop) for items in _blocks(benchmark)])
     lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "matches")]
     found = hits.groupBy("row").agg(*lists).select(*_HITS).mapInArrow(_merged, _FOUND)

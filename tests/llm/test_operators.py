@@ -162,8 +162,9 @@ def test_blocks_of_items_change_nothing(spark, monkeypatch):
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     benchmark = spark.createDataFrame(items, "item_id string, text string")
     results = []
-    for block in (50_000, 2, 1):
+    for block, sent in ((50_000, 10**6), (2, 3), (1, 10**6)):
         monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
+        monkeypatch.setattr(decontaminate, "SENT_TERMS", sent)
         rows = decontaminate.find_contamination(docs, benchmark, 10).collect()
         results.append(sorted((r.asDict(recursive=True) for r in rows), key=str))
     assert results[0] == results[1] == results[2]
