@@ -299,6 +299,8 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
     # staged, so that the join is one of plain exchanges, which Spark splits where one set has a third of all rows
     first = stage(described.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "firsts")
     rep = stage(described.select("doc_id", "n", "f1", "f2").join(first, ["f1", "f2"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).alias("rep")), "reps")
+    discard(first)
+    release()
     keyed = described.filter("bitmap is not null and doc_id is not null")
     dealt = docs.filter("doc_id is not null").mapInArrow(_deal(k, t), "key long, doc_id long")
     shared = dealt.repartition("key").sortWithinPartitions("key", "doc_id").mapInArrow(_shared_tiles, "key long, doc_id long, pivot long")
@@ -316,7 +318,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
         keyed.select("doc_id", "n", "bitmap").join(of, "doc_id").groupBy("rep").agg(F.min("n").alias("n"), F.min("bitmap").alias("bitmap")).withColumnRenamed("rep", "doc_id"),
         "signatures",
     )
-    discard(described, first, shared)
+    discard(described, shared)
     tried = stage(tiles.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).distinct(), "tried")
     links = _verify(tried, sets, docs, k, t)
     comp = components(links)
