@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factline.llm import decontaminate, jaccard_join, packing, quality, substring_dedup
-from factline.llm._common import release, stage
+from factline.llm._common import discard, release, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -95,7 +95,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
+        if last is not None:  # what came of it is written
+            discard(last)
+        last = docs
     return docs
