@@ -7,6 +7,7 @@ about ``CHUNK_BYTES``, so memory stays bounded however many rows a batch has.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import gc
 import os
 import tempfile
@@ -18,6 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHUNK_BYTES = 1 << 21
+#: Bytes of an Arrow batch on its way to a Python worker (Spark's own bound is 64 MB, on either side of the pipe).
+BATCH_BYTES = 1 << 22
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _staged: dict[str, SparkSession] = {}
 
 
@@ -40,13 +44,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     that outlive any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _staged[path] = spark
     out._staged_path = path
     return out
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Plans run inside send Arrow batches of BATCH_BYTES (or one row), whatever the length of the rows."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes staged tables that nothing reads again: what came of them is staged itself."""
     for df in tables:

@@ -8,10 +8,11 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from factline.llm import decontaminate, html_extract, jaccard_join, language_id, packing, quality, queries, substring_dedup, token_counts, token_files, tokens, url_filters
+from factline.llm import _common, decontaminate, html_extract, jaccard_join, language_id, packing, quality, queries, substring_dedup, token_counts, token_files, tokens, url_filters
 from factline.llm.components import components
 
 SPACE = re.compile("[^\x20\x09-\x0d]+")
@@ -95,6 +96,19 @@ def test_bitmap_bound_never_cuts_a_link():
         assert not both or jaccard_join._allowed(len(a), len(b), maps[0][0], maps[1][0], t)
 
 
+def test_batches_are_small_whatever_the_rows(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "n"])
+
+    rows = spark.range(64).select(F.repeat(F.lit("x"), F.when(F.col("id") == 5, 9_000_000).otherwise(300_000).cast("int")).alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = _common.stage(rows.coalesce(1).mapInArrow(sizes, "bytes long, n long"), "sizes").collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+    assert sum(r.n for r in found) == 64 and all(r.n <= 1 + _common.BATCH_BYTES // 300_000 for r in found)
+    assert max(r.bytes for r in found) < 9_000_000 + 2 * _common.BATCH_BYTES
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 80), (5, 5), (7, 8)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}
