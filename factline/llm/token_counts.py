@@ -15,14 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from factline.llm._common import small_batches
 from factline.llm.tokens import Encoder, id_type
 
 BLOCK_TOKENS = 1 << 20
+LEVEL = 6
 _FLAT = "file long, block long, data binary"
 
 
@@ -55,18 +58,27 @@ def write_flat(tokens: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -
     ordered.mapInArrow(_flatten(block_tokens), _FLAT).write.option("compression", "uncompressed").parquet(path)
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, print, text) with the texts compressed one by one, for the way to their place."""
+    pack = zstandard.ZstdCompressor(level=LEVEL).compress
+    for batch in batches:
+        packed = pa.array([pack((t or "").encode("utf-8")) for t in batch.column(2).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], ["doc_id", "print", "packed"])
+
+
 def _tokenize(path: str, end_id: int, dtype: str, block_tokens: int):
-    """(doc_id, text) -> blocks of a flat file, and beside them the order of its documents."""
+    """(doc_id, packed text) -> blocks of a flat file, and beside them the order of its documents."""
     schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("data", pa.binary()), ("docs", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, file, block, lists, rest = Encoder.of(path), TaskContext.get().partitionId(), 0, 0, b""
+        unpack = zstandard.ZstdDecompressor().decompress
         size = np.dtype(dtype).itemsize * block_tokens
         row = lambda k, data, docs: pa.RecordBatch.from_pylist([{"file": file, "block": k, "data": data, "docs": docs}], schema)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                ids = encoder.encode([unpack(t).decode("utf-8") for t in part.column(1).to_pylist()])
                 rest += b"".join(np.append(x, np.uint32(end_id)).astype(dtype).tobytes() for x in ids)
                 yield row(lists, None, part.column(0).to_pylist())
                 lists += 1
@@ -86,13 +98,18 @@ def tokenize_flat(documents: DataFrame, tokenizer: str, end_id: int, path: str,
 
     Rows without a doc_id come first; rows of one doc_id follow each other by their text's hash.  So
     the files say the same however the table was split.  They have no index; which document stands
-    where in the order is kept in rows of their own (docs) for whoever wants names.  Returns the
-    type of the ids."""
+    where in the order is kept in rows of their own (docs) for whoever wants names.  Texts travel to
+    their place in the order compressed, as Spark's own compression of a shuffle leaves them twice as
+    large as the files.  Returns the type of the ids."""
     dtype = id_type(tokenizer)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    by = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc())
-    docs = docs.repartitionByRange(*by).sortWithinPartitions(*by)
-    docs.mapInArrow(_tokenize(tokenizer, end_id, dtype, block_tokens), f"{_FLAT}, docs array<long>").write.option("compression", "zstd").parquet(path)
+    text = F.col("text").cast("string")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text"))
+    by = (F.col("doc_id").asc_nulls_first(), F.col("print").asc())
+    with small_batches(documents.sparkSession):
+        packed = docs.mapInArrow(_squeeze, "doc_id long, print long, packed binary")
+        ordered = packed.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "packed")
+        files = ordered.mapInArrow(_tokenize(tokenizer, end_id, dtype, block_tokens), f"{_FLAT}, docs array<long>")
+        files.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL).parquet(path)
     return dtype
 
 
