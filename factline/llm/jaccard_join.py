@@ -11,7 +11,8 @@ its band.  So no similar pair can miss.
 
 In a tile every set is first compared with the tile's smallest id.  Components of those
 links leave few tiles with more than one component; only these are compared pair by pair,
-in sub-tiles of bounded size ordered by set size.  Popcounts of signatures (2048 bits, four a
+in sub-tiles of bounded size ordered by set size: first each set with the one that the bounds
+put nearest to it in another component, then whatever is still in different components.  Popcounts of signatures (2048 bits, four a
 member for large sets) bound the overlap from above; the survivors' sorted hash arrays are intersected exactly.
 """
 
@@ -164,12 +165,15 @@ def _shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (k, d, p)], ["key", "doc_id", "pivot"])
 
 
-def may_link(n1: np.ndarray, n2: np.ndarray, m1: np.ndarray, m2: np.ndarray, t: Fraction) -> np.ndarray:
-    """Whether bit counts allow |A & B| >= t/(1+t) * (|A| + |B|).
-
-    A bit that only A sets stands for at least one member that B lacks."""
+def most_shared(n1: np.ndarray, n2: np.ndarray, m1: np.ndarray, m2: np.ndarray) -> np.ndarray:
+    """An upper bound of |A & B|: a bit that only A sets stands for at least one member that B lacks."""
     bits = lambda x: np.bitwise_count(x).sum(-1, dtype=np.int64)
-    most = np.minimum(n1 - bits(m1 & ~m2), n2 - bits(m2 & ~m1))
+    return np.minimum(n1 - bits(m1 & ~m2), n2 - bits(m2 & ~m1))
+
+
+def may_link(n1: np.ndarray, n2: np.ndarray, m1: np.ndarray, m2: np.ndarray, t: Fraction) -> np.ndarray:
+    """Whether bit counts allow |A & B| >= t/(1+t) * (|A| + |B|)."""
+    most = most_shared(n1, n2, m1, m2)
     return most * (t.numerator + t.denominator) >= t.numerator * (n1 + n2)
 
 
@@ -182,6 +186,11 @@ def _fold(x: np.ndarray, words: int) -> np.ndarray:
     return x if len(x) == words else np.bitwise_or.reduce(x.reshape(-1, words), axis=0)
 
 
+def _sized(stack: np.ndarray, rows: np.ndarray, words: int) -> np.ndarray:
+    """Some of a stack's signatures, at a smaller size."""
+    return np.bitwise_or.reduce(stack.reshape(len(stack), -1, words)[rows], axis=1)
+
+
 def _allowed(n1: int, n2: int, x: np.ndarray, y: np.ndarray, t: Fraction) -> bool:
     words = min(len(x), len(y))
     return bool(may_link(np.array([n1]), np.array([n2]), _fold(x, words)[None], _fold(y, words)[None], t)[0])
@@ -197,11 +206,12 @@ def _bounded(t: Fraction):
     return run
 
 
-def _tile_pairs(t: Fraction):
-    """One sub-tile pair (about 2 * TILE rows): pairs of different components that the bounds allow."""
+def _tile_pairs(t: Fraction, nearest: bool):
+    """One sub-tile pair (about 2 * TILE rows): pairs of different components that the bounds allow,
+    or of these, for each set, only the one with the highest bound."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
+        k, i, j = (x.as_py() for x in key)
         tile, ids, comp, n = (rows.column(c).to_numpy() for c in ("tile", "doc_id", "comp", "n"))
         maps = [_bitmap(x) for c in rows.column("bitmap").chunks for x in c.to_pylist()]
         words = np.array([len(x) for x in maps])
@@ -210,13 +220,13 @@ def _tile_pairs(t: Fraction):
             own = np.flatnonzero(words == size)
             place[own], stacks[size] = np.arange(len(own)), np.stack([maps[i] for i in own])
         left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
-        out = []
+        out, like = [], []
         for x in left:
             y = right[right > x] if i == j else right
             y = y[comp[y] != comp[x]]
             y = y[np.minimum(n[y], n[x]) * t.denominator >= np.maximum(n[y], n[x]) * t.numerator]
             if len(y):
-                ok = np.zeros(len(y), bool)
+                ok, likeness = np.zeros(len(y), bool), np.zeros(len(y))
                 for size in np.unique(words[y]):  # at one size each
                     w, these = min(size, words[x]), np.flatnonzero(words[y] == size)
                     mine, nx = _fold(maps[x], w)[None], n[x]
@@ -225,10 +235,15 @@ def _tile_pairs(t: Fraction):
                         theirs = theirs[:, 0] if size == w else np.bitwise_or.reduce(theirs, axis=1)
                         these = these[may_link(np.full(len(these), nx), n[y[these]], mine[:, :part], theirs, t)]
                     ok[these] = True
-                y = y[ok]
-                out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
-        ab = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-        return pa.table({"a": ab[0], "b": ab[1]})
+                    if nearest and len(these):
+                        theirs = _sized(stacks[size], place[y[these]], w)
+                        likeness[these] = most_shared(np.full(len(these), nx), n[y[these]], mine, theirs) / (n[y[these]] + nx)
+                which = np.argmax(np.where(ok, likeness, -1), keepdims=True) if nearest and ok.any() else ok
+                y = y[which]
+                out.append(np.stack([np.full(len(y), ids[x]), ids[y]])), like.append(likeness[which])
+        xy = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
+        same = lambda v: np.full(xy.shape[1], v, np.int64)
+        return pa.table({"key": same(k), "i": same(i), "j": same(j), "x": xy[0], "y": xy[1], "likeness": np.concatenate(like) if like else np.zeros(0)})
 
     return run
 
@@ -339,11 +354,21 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
     last = F.floor((F.col("size") - 1) / TILE)
     with_tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     dealt = with_tiles.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "doc_id", "comp", "n", "bitmap")
-    found = dealt.groupBy("key", "i", "j").applyInArrow(_tile_pairs(t), "a long, b long").distinct()
-    more = _verify(stage(found.join(tried, ["a", "b"], "left_anti"), "found"), sets, docs, k, t)
-    if more.isEmpty():
-        final = comp
-    else:
-        final = components(links.unionByName(more))
+    pairs, ends = "key long, i long, j long, x long, y long, likeness double", (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    near = stage(dealt.groupBy("key", "i", "j").applyInArrow(_tile_pairs(t, nearest=True), pairs), "near")
+    one = near.groupBy("x").agg(F.max(F.struct("likeness", "y")).alias("best")).select("x", "best.y")  # one a set, over all its tiles
+    fresh = stage(one.select(*ends).distinct().join(tried, ["a", "b"], "left_anti"), "nearest")
+    more = _verify(fresh, sets, docs, k, t)
+    final = comp
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        final = components(links)
+    # sub-tiles without a pair have no other; in the rest, all pairs of what are still different components
+    again = dealt.drop("comp").join(near.select("key", "i", "j").distinct(), ["key", "i", "j"], "left_semi")
+    again = again.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
+    found = again.groupBy("key", "i", "j").applyInArrow(_tile_pairs(t, nearest=False), pairs).select(*ends).distinct()
+    rest = _verify(stage(found.join(tried.unionByName(fresh), ["a", "b"], "left_anti"), "found"), sets, docs, k, t)
+    if not rest.isEmpty():
+        final = components(links.unionByName(rest))
     out = rep.join(final.withColumnRenamed("id", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
