@@ -20,12 +20,14 @@ important text is in it.
 What a style says by itself is taken as prior.  Menus, footers, asides and hidden elements are out.
 Forms, headers and elements that class or id names as sidebar, comments, notice, advert and so on
 are out unless the page's article or main element, or nearly all of its text, is inside.  Where a
-page has an article or main element, the main text is what that holds; nothing in it is judged by
-statistics.
-
-The pages are parsed twice: once for the statistics (hashes only), once to cut the text.  Statistics
-are counts over (node, feature), added before they move; node hashes include the host, so no key is
-a host.  Sums go up the tree by doubling: as many rounds as the logarithm of its depth.  Pages of a
+page has an article or main element, the main text is what that holds.  The tree judges that too, by
+IN_ARTICLE: what goes is a branch that nearly every page of the host has there, in the same words, on
+ARTICLE_PAGES or more.  A list or table in an article goes whole or not at all, a heading only with all that
+it heads, and an article of which nothing would be left stays as it is.
+
+The pages are parsed twice: once for the statistics (hashes only, packed a page), once to cut the text.
+Statistics are counts over (node, feature), added before they move; node hashes include the host, so no
+key is a host.  Sums go up the tree by doubling: as many rounds as the logarithm of its depth.  Pages of a
 host that are copies of each other, or nearly, count once: those whose widest-spread texts are the
 same up to NEAR of their characters.  Removed nodes go to the pages as one sorted array if they are
 few, and are joined with each page's nodes otherwise; html moves only in the second case, evenly.
@@ -44,9 +46,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factline.llm._common import discard, stage
+from factline.llm._common import discard, release, stage
 
 THRESHOLD = 0.2
+#: The threshold of branches in an article or main element, and the pages that must have them.
+IN_ARTICLE = 0.02
+ARTICLE_PAGES = 10
 GAMMA = 0.9
 #: Share of a page's characters in which near copies agree.
 NEAR = 0.8
@@ -58,6 +63,9 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul head title".split())
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("article aside body div dl footer form header main nav ol section table td th tr ul html".split())
+#: Parts of a list or table, which in an article don't go without the rest of it.
+_PARTS = frozenset("caption dd dt figcaption legend li summary tbody td tfoot th thead tr".split())
+_HEADING = re.compile(r"h([1-6])(?![a-z0-9-])")
 #: Out whatever they hold.
 _NEVER = frozenset("nav footer aside button select option input dialog menu head title".split())
 #: Out unless the main text is inside; the second also if they stand in an article.
@@ -101,7 +109,7 @@ def _prior(tag: str, attributes: str) -> tuple[str, int, bool]:
             ruled = max(ruled, _WEAK if role in ("form", "banner", "search") else _STRONG)
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
         ruled = _STRONG
-    return ".".join([tag, *sorted(c.lower() for c in classes)]), ruled, main
+    return ".".join([tag, *sorted(c.lower() for c in classes)]) + (" main" if role == "main" else ""), ruled, main
 
 
 class Page:
@@ -219,10 +227,10 @@ class Page:
 
     def judged(self) -> list[int]:
         """The blocks that the host's tree judges."""
-        return [k for k in self.kept if not self.in_article[k]]
+        return self.kept
 
-    def nodes(self, host: str) -> tuple[list[tuple[int, int, int, int]], dict[int, int], dict[int, int]]:
-        """The page's part of the host's tree: rows (node, parent node, sequence of it, own sequence; a leaf has none: 0),
+    def nodes(self, host: str) -> tuple[list[tuple[int, int, int, int, bool]], dict[int, int], dict[int, int]]:
+        """The page's part of the host's tree: rows (node, parent node, sequence of it, own sequence; a leaf has none: 0; whether in an article),
         the node of each judged block, and of each element above one."""
         children: dict[int, list[int]] = {}  # in order; block k as -1 - k
         for k in self.judged():
@@ -233,7 +241,7 @@ class Page:
                 if not new or not e:
                     break
                 child, e = e, self.parents[e]
-        rows: list[tuple[int, int, int, int]] = []
+        rows: list[tuple[int, int, int, int, bool]] = []
         leaf: dict[int, int] = {}
         place = {0: (_hash(f"host\x00{host}"), 0, 0)}
         for e in sorted(children):  # parents come first
@@ -241,7 +249,7 @@ class Page:
             names = [self.styles[c] if c > 0 else "" for c in children[e]]
             steps = [name for i, name in enumerate(names) if not i or names[i - 1] != name]
             own = _hash("\x00".join([str(node), *steps]))
-            rows.append((node, parent, sequence, own))
+            rows.append((node, parent, sequence, own, self.inside[e]))
             run, j = -1, 0
             for i, (c, name) in enumerate(zip(children[e], names, strict=True)):
                 run, j = (run, j + 1) if i and names[i - 1] == name else (run + 1, 0)
@@ -250,18 +258,26 @@ class Page:
                     place[c] = (child, node, own)
                 else:
                     leaf[-1 - c] = child
-                    rows.append((child, node, own, 0))
+                    rows.append((child, node, own, 0, self.inside[e]))
         return rows, leaf, {e: place[e][0] for e in children}
 
     def main_text(self, host: str, low: np.ndarray) -> str:
         """The blocks that are left; ``low``: removed nodes, sorted."""
-        if any(self.in_article[k] for k in self.kept):
-            return "\n\n".join(self.text[k] for k in self.kept if self.in_article[k])
-        if not len(low):
-            return "\n\n".join(self.text[k] for k in self.kept)
+        article = [k for k in self.kept if self.in_article[k]]
+        left = self._left(host, low) if len(low) else self.kept
+        if article:  # never emptied
+            left = self._headed(article, {k for k in left if self.in_article[k]}) or article
+        return "\n\n".join(self.text[k] for k in left)
+
+    def _left(self, host: str, low: np.ndarray) -> list[int]:
+        """The blocks outside removed branches."""
         _, leaf, element = self.nodes(host)
         removed = lambda node: (i := int(np.searchsorted(low, node))) < len(low) and low[i] == node
-        stay = [k for k in self.kept if not removed(leaf[k])]
+        part = {0: False}  # stands in a list or table of an article
+        for e in sorted(element):
+            if e:
+                part[e] = part[self.parents[e]] or self.inside[e] and re.split("[. ]", self.styles[e], maxsplit=1)[0] in _PARTS
+        stay = [k for k in self.kept if part[self.owner[k]] or not removed(leaf[k])]
         size = dict.fromkeys(element, 0)  # important text in each branch
         for k in stay:
             size[self.owner[k]] += len(self.text[k])
@@ -270,8 +286,23 @@ class Page:
                 size[self.parents[e]] += size[e]
         gone = {}
         for e in sorted(element):
-            gone[e] = e > 0 and (gone[self.parents[e]] or 2 * size[e] < size[0] and removed(element[e]))
-        return "\n\n".join(self.text[k] for k in stay if not gone[self.owner[k]])
+            gone[e] = e > 0 and (gone[self.parents[e]] or not part[e] and 2 * size[e] < size[0] and removed(element[e]))
+        return [k for k in stay if not gone[self.owner[k]]]
+
+    def _headed(self, blocks: list[int], stay: set[int]) -> list[int]:
+        """Those of an article's blocks that stay, and the headings of what stays."""
+        if not stay:
+            return []
+        out, under = [], [False] * 7  # whether something stays before the next heading of a rank or a higher one
+        for k in reversed(blocks):
+            heading = _HEADING.match(self.styles[self.owner[k]])
+            rank = int(heading[1]) if heading else 7
+            keep = k in stay or rank < 7 and under[rank]
+            if keep:
+                out.append(k)
+                under[1:rank] = [True] * (rank - 1)
+            under[rank:] = [False] * (7 - rank)
+        return out[::-1]
 
 
 def host(url: Column) -> Column:
@@ -283,30 +314,68 @@ def _hash(data: str) -> int:
     return int.from_bytes(hashlib.blake2b(data.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+_LEAF, _INSIDE = 1, 2
+#: Packed statistics of a page: an array a column, with an entry a row of the tree.
+_PACKED = {"nodes": np.int64, "features": np.int64, "above": np.int32, "kinds": np.uint8, "lengths": np.int32}
+
+
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, html) -> host (hash), page (hash of its tree and texts), node, parent, sequence, feature (a leaf's text, else the own sequence), leaf, length."""
-    types = {"host": pa.int64(), "page": pa.int64(), "node": pa.int64(), "parent": pa.int64(), "sequence": pa.int64(), "feature": pa.int64(), "leaf": pa.bool_(), "length": pa.int64()}
+    """(host, html) -> host (hash), page (hash of its tree and texts) and, packed, each node, its feature (a leaf's text, else the own
+    sequence), the place of the element above (-1: none), its kind (bits _LEAF, _INSIDE) and a leaf's length."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
-            out: list[list] = [[] for _ in types]
+            out: list[list] = [[] for _ in range(2 + len(_PACKED))]
             for name, markup in zip(batch.column(0).slice(at, 500).to_pylist(), batch.column(1).slice(at, 500).to_pylist(), strict=True):
                 page = Page(markup)
                 rows, leaf, _ = page.nodes(name)
                 if not rows:
                     continue
                 text = {node: page.text[k] for k, node in leaf.items()}
-                sign, site = _hash("\x00".join(f"{node}\x01{t}" for node, t in text.items())), _hash(f"host\x00{name}")
-                for node, parent, sequence, own in rows:
-                    t = text.get(node)
-                    row = (site, sign, node, parent, sequence, own if t is None else _hash(t), t is not None, len(t or ""))
-                    for column, v in zip(out, row, strict=True):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types.values(), strict=True)], list(types))
+                place = {0: -1} | {row[0]: i for i, row in enumerate(rows)}
+                out[0].append(_hash(f"host\x00{name}")), out[1].append(_hash("\x00".join(f"{node}\x01{t}" for node, t in text.items())))
+                own = [
+                    [r[0] for r in rows], [_hash(text[r[0]]) if r[0] in text else r[3] for r in rows], [place[r[1]] for r in rows],
+                    [_LEAF * (r[0] in text) + _INSIDE * r[4] for r in rows], [len(text.get(r[0], "")) for r in rows],
+                ]
+                for column, values, kind in zip(out[2:], own, _PACKED.values(), strict=True):
+                    column.append(np.array(values, kind).tobytes())
+            types = [pa.int64()] * 2 + [pa.binary()] * len(_PACKED)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["host", "page", *_PACKED])
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """The row of ``batch`` that each entry is of, and the packed columns, ``above`` counted over the batch."""
+    columns = [np.frombuffer(b"".join(batch.column(name).to_pylist()), kind) for name, kind in _PACKED.items()]
+    counts = np.array([len(x) for x in batch.column("kinds").to_pylist()], np.int64)
+    row = np.repeat(np.arange(len(counts)), counts)
+    columns[2] = np.where(columns[2] < 0, -1, columns[2] + (np.cumsum(counts) - counts)[row])
+    return row, *columns
+
+
+def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed pages -> node, parent, sequence, feature, leaf, inside."""
+    for batch in batches:
+        _, nodes, features, above, kinds, _ = _unpacked(batch)
+        if len(nodes):
+            parent, sequence = (np.where(above < 0, 0, x[above]) for x in (nodes, features))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (nodes, parent, sequence, features, kinds & _LEAF > 0, kinds & _INSIDE > 0)], ["node", "parent", "sequence", "feature", "leaf", "inside"])
+
+
+def _page_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed pages -> host, page, feature, length: each text of a page once, with all its characters there."""
+    for batch in batches:
+        row, _, features, _, kinds, lengths = _unpacked(batch)
+        leaf = np.flatnonzero(kinds & _LEAF)
+        leaf = leaf[np.lexsort((features[leaf], row[leaf]))]
+        if len(leaf):
+            row, feature = row[leaf], features[leaf]
+            at = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (feature[1:] != feature[:-1])])
+            host, page = (batch.column(i).to_numpy()[row[at]] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (host, page, feature[at], np.add.reduceat(lengths[leaf].astype(np.int64), at))], ["host", "page", "feature", "length"])
 
 
-def _once(leaves: DataFrame) -> DataFrame:
+def _once(texts: DataFrame) -> DataFrame:
     """page: one of each set of near copies."""
-    texts = leaves.groupBy("host", "page", "feature").agg(F.sum("length").alias("length"))
     spread = texts.groupBy("host", "feature").agg(F.count("*").alias("on"))
     by = W.partitionBy("host", "page")
     before = F.coalesce(F.sum("length").over(by.orderBy(F.desc("on"), "feature").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -316,36 +385,43 @@ def _once(leaves: DataFrame) -> DataFrame:
 
 
 def style_tree(pages: DataFrame, gamma: float = GAMMA) -> DataFrame:
-    """node, leaf, pages, importance of the merged trees of all hosts."""
-    seen = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(_statistics, "host long, page long, node long, parent long, sequence long, feature long, leaf boolean, length long")
-    every = stage(seen.dropDuplicates(["page", "node"]), "elements")  # a node stands on a page once
-    per = every.join(_once(every.filter("leaf")), "page", "left_semi")
+    """node, leaf, inside (an article), pages, importance of the merged trees of all hosts."""
+    packed = "host long, page long, " + ", ".join(f"{name} binary" for name in _PACKED)
+    seen = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(_statistics, packed)
+    every = stage(seen.dropDuplicates(["page"]), "elements")
+    release()
+    once = stage(_once(every.mapInArrow(_page_texts, "host long, page long, feature long, length long")), "once")
+    release()
+    per = every.join(once, "page", "left_semi").mapInArrow(_tree_rows, "node long, parent long, sequence long, feature long, leaf boolean, inside boolean")
     k = F.col("k")
-    features = stage(per.groupBy("node", "feature").agg(F.count("*").alias("k"), F.first("leaf").alias("leaf"), F.first("parent").alias("parent"), F.first("sequence").alias("sequence")), "features")
+    features = stage(per.groupBy("node", "feature").agg(F.count("*").alias("k"), F.first("leaf").alias("leaf"), F.first("inside").alias("inside"), F.first("parent").alias("parent"), F.first("sequence").alias("sequence")), "features")
+    discard(every, once)
+    release()
     nodes = features.groupBy("node").agg(
-        F.sum("k").alias("m"), F.sum(k * F.log(k)).alias("spread"), F.count("*").alias("l"), F.first("leaf").alias("leaf"), F.first("parent").alias("parent"), F.first("sequence").alias("sequence")
+        F.sum("k").alias("m"), F.sum(k * F.log(k)).alias("spread"), F.count("*").alias("l"), F.first("leaf").alias("leaf"), F.first("inside").alias("inside"), F.first("parent").alias("parent"), F.first("sequence").alias("sequence")
     )
     m = F.col("m")
     entropy = F.when(m > 1, F.col("spread") / (m * F.log(m))).otherwise(0.0)  # 1: all pages alike
     share = F.pow(F.lit(gamma), F.col("l"))
     own = F.when(F.col("leaf"), 1 - entropy * (1 - 1 / (m * m))).otherwise((1 - share) * (1 - entropy))
-    nodes = stage(nodes.select("node", "leaf", "m", "parent", "sequence", own.alias("own"), F.when(F.col("leaf"), 0.0).otherwise(share).alias("share")), "nodes")
+    nodes = stage(nodes.select("node", "leaf", "inside", "m", "parent", "sequence", own.alias("own"), F.when(F.col("leaf"), 0.0).otherwise(share).alias("share")), "nodes")
     # what an element takes of a child: its share for children, by sequence, by child
     taken = features.filter("not leaf").select(F.col("feature").alias("sequence"), "k")
     below = nodes.groupBy("sequence").agg(F.sum("m").alias("of"))
     above = nodes.filter("not leaf").select(F.col("node").alias("parent"), F.col("m").alias("p_m"), F.col("share").alias("p_share"))
     weights = nodes.filter("parent <> 0").join(taken, "sequence").join(below, "sequence").join(above, "parent")
     weights = weights.select("node", "parent", (F.col("p_share") * F.col("k") / F.col("p_m") * F.col("m") / F.col("of")).alias("w"))
-    state = nodes.join(weights, ["node", "parent"], "left").select("node", "leaf", F.col("m").alias("pages"), F.col("own").alias("importance"), F.when(F.col("w").isNotNull(), F.col("parent")).alias("up"), "w")
+    state = nodes.join(weights, ["node", "parent"], "left").select("node", "leaf", "inside", F.col("m").alias("pages"), F.col("own").alias("importance"), F.when(F.col("w").isNotNull(), F.col("parent")).alias("up"), "w")
     state = stage(state, "branches")
-    discard(every, features, nodes)
+    discard(features, nodes)
+    release()
     while not state.filter("up is not null").isEmpty():  # each node holds the sum of 2^i levels, ``up`` is 2^i levels above
         sums = state.filter("up is not null").groupBy(F.col("up").alias("node")).agg(F.sum(F.col("w") * F.col("importance")).alias("more"))
         high = state.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("w").alias("w2"))
         far = state.join(high, "up", "left").join(sums, "node", "left")
-        last, state = state, stage(far.select("node", "leaf", "pages", (F.col("importance") + F.coalesce("more", F.lit(0.0))).alias("importance"), F.col("up2").alias("up"), (F.col("w") * F.col("w2")).alias("w")), "branches")
+        last, state = state, stage(far.select("node", "leaf", "inside", "pages", (F.col("importance") + F.coalesce("more", F.lit(0.0))).alias("importance"), F.col("up2").alias("up"), (F.col("w") * F.col("w2")).alias("w")), "branches")
         discard(last)
-    return state.select("node", "leaf", "pages", "importance")
+    return state.select("node", "leaf", "inside", "pages", "importance")
 
 
 def _extract(removed):
@@ -384,7 +460,8 @@ def extract_text(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     kind = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     tree = style_tree(pages)
-    low = stage(tree.filter(F.col("importance") < threshold).select("node"), "removed")
+    article = (F.col("importance") < min(threshold, IN_ARTICLE)) & (F.col("pages") >= ARTICLE_PAGES)
+    low = stage(tree.filter(F.when(F.col("inside"), article).otherwise(F.col("importance") < threshold)).select("node"), "removed")
     schema = f"page_id {kind['page_id']}, url string, text string, n_chars long"
     named = pages.withColumn("host", host(F.col("url")))
     if low.count() <= SENT_NODES:

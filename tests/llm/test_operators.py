@@ -493,6 +493,29 @@ def test_tree_decides_where_no_element_names_the_article(spark, monkeypatch):
     assert all(off[i] != want[i] for i in want)
 
 
+def test_tree_judges_articles_too(spark, monkeypatch):
+    """What every page of a host has at one place of its article goes; headings, cells and lists of what stays do not, and no article is emptied."""
+    rows, want = [], {}
+    for i in range(12):
+        story = [f"the story of page {i}, told in part {k}, in words that no other page has" for k in range(2 + i % 3)]
+        table = f"<table><tr><th>Name<td>name {i}</table>"
+        box = "<div><h3>More from us</h3><p>Get our letter every day</p><ul><li>by post<li>by wire</ul></div>"
+        page = f"<body><article><h1>title {i}</h1>{box}<h2>Summary</h2><section>{''.join(f'<p>{t}</p>' for t in story)}</section>{table}</article><p>outside {i}</p></body>"
+        rows.append((i, "http://inside.x/", page))
+        want[i] = "\n\n".join([f"title {i}", "Summary", *story, "Name", f"name {i}"])
+        rows.append((20 + i, "http://alike.x/", f"<body><div>{' '.join(story)} and so on</div><main><p>Come back later</p></main></body>"))
+        want[20 + i] = "Come back later"
+        if i < 9:  # too few pages
+            rows.append((40 + i, "http://few.x/", page))
+            want[40 + i] = "\n\n".join([f"title {i}", "More from us", "Get our letter every day", "by post", "by wire", "Summary", *story, "Name", f"name {i}"])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for most in (html_extract.SENT_NODES, 0):
+        monkeypatch.setattr(html_extract, "SENT_NODES", most)
+        assert {r.page_id: r.text for r in html_extract.extract_text(df).collect()} == want
+    off = {r.page_id: r.text for r in html_extract.extract_text(df, threshold=-1.0).collect()}
+    assert {i for i in want if off[i] != want[i]} == set(range(12))
+
+
 def test_names_do_not_rule_out_what_holds_the_text(spark):
     cases = [
         "<div class='layout no-sidebar'><article><p>the text</p></article></div>", "<form id=aspnetForm><article><p>the text</p></article><input value=x></form>", "<div class='post comments-open'><p>the text</p></div>",
