@@ -88,7 +88,8 @@ def tile_keys(u: np.ndarray, table: list[tuple[int, int, int, int]]) -> np.ndarr
                 break
         else:
             out.append(mix(np.array([level + (1 << 40)], np.uint64)))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    # 48 bits, as the keys outweigh the texts on their way; tiles that share a key are one tile, which loses nothing
+    return np.concatenate(out) & np.uint64((1 << 48) - 1) if out else np.zeros(0, np.uint64)
 
 
 def bitmap(u: np.ndarray) -> bytes:
@@ -285,6 +286,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, t: Fract
     full = likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
     verified = stage(full.mapInArrow(_intersect(t), "a long, b long"), "verified")
     discard(likely, members)
+    release()
     return verified
 
 
@@ -348,6 +350,8 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
         .agg(F.min("key").alias("key"))
     )
     rest = stage(members.join(open_tiles, "key").select("key", "size", F.col("id").alias("doc_id"), "comp").join(sets, "doc_id"), "open")
+    discard(tiles)
+    release()
     small = rest.filter(F.col("size") <= TILE).withColumn("tile", F.lit(0).cast("long"))
     big = _ranked(rest.filter(F.col("size") > TILE))
     cut = small.unionByName(big)
@@ -356,6 +360,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, threshold: tuple[int, i
     dealt = with_tiles.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "doc_id", "comp", "n", "bitmap")
     pairs, ends = "key long, i long, j long, x long, y long, likeness double", (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     near = stage(dealt.groupBy("key", "i", "j").applyInArrow(_tile_pairs(t, nearest=True), pairs), "near")
+    release()
     one = near.groupBy("x").agg(F.max(F.struct("likeness", "y")).alias("best")).select("x", "best.y")  # one a set, over all its tiles
     fresh = stage(one.select(*ends).distinct().join(tried, ["a", "b"], "left_anti"), "nearest")
     more = _verify(fresh, sets, docs, k, t)

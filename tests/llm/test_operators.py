@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -493,6 +494,16 @@ def test_tree_decides_where_no_element_names_the_article(spark, monkeypatch):
     assert all(off[i] != want[i] for i in want)
 
 
+def test_tile_keys_are_short_and_similar_sets_still_meet():
+    rng = np.random.default_rng(5)
+    table = jaccard_join.bands(Fraction(4, 5))
+    for n in (3, 20, 150, 900):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.r_[a[: len(a) - n // 10], rng.integers(0, 1 << 63, n // 10, dtype=np.uint64)])
+        x, y = (jaccard_join.tile_keys(u, table) for u in (a, b))
+        assert max(x.max(), y.max()) < 1 << 48 and len(np.intersect1d(x, y))
+
+
 def test_tree_judges_articles_too(spark, monkeypatch):
     """What every page of a host has at one place of its article goes; headings, cells and lists of what stays do not, and no article is emptied."""
     rows, want = [], {}
