@@ -10,6 +10,8 @@ with the smallest id.
 Index, probes and replies travel packed: a row holds the sorted fingerprints that one group of
 documents sends to one bucket of the fingerprint space, each value once however many documents
 of the group have it, so a passage that a third of all documents share is one entry a group.
+A group's texts are brought together before each of these steps: it sends a bucket one row, however
+its documents lie in the input, so rows are at most groups times buckets.
 Groups and buckets grow in number with the input.  Their size is TARGET_BYTES, and beyond some 2 TB
 grows with the square root of the input, so that a packet keeps PACKET_BYTES of text on average and
 rows stay few: 160 MB a group for 100 TB.  Fingerprints have 64 bits: a window is taken for
@@ -71,31 +73,37 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
 
 
 def _probes(block: int, bits: int):
-    """Documents (grp, text) -> packed anchors: uint32 of 30 bits of fingerprint, 'indexed', 'in several documents'."""
+    """One group's texts -> packed anchors, a row a bucket: uint32 of 30 bits of fingerprint, 'indexed', 'in several documents'."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = batch.column(0).to_numpy()
-            data, offsets = utf8(batch.column(1))
-            for at, part, ends in chunks(data, offsets):
-                w = _Words(part, ends)
-                h, pos = w.windows(block)
-                doc = w.doc[pos]
-                group, key = groups[at + doc], _short(h, bits)
-                order = np.lexsort((key, group))  # documents stay in order in a run
-                group, key, doc, indexed = group[order], key[order], doc[order], ((pos - w.first[doc]) % block == 0)[order]
-                run = _runs(group, key)
-                if not len(run):
-                    continue
-                last = np.append(run[1:], len(key)) - 1
-                several = doc[run] != doc[last]
-                entry = ((key[run] & np.uint64((1 << _FRAGMENT) - 1)) << np.uint64(2)).astype(np.uint32)
-                entry |= np.logical_or.reduceat(indexed, run).astype(np.uint32) << np.uint32(1)
-                entry |= several.astype(np.uint32)
-                group, bucket = group[run], (key[run] >> np.uint64(_FRAGMENT)).astype(np.int64)
-                cut = _runs(group, bucket)
-                packed = [entry[a:b].tobytes() for a, b in zip(cut, np.append(cut, len(entry))[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut]), pa.array(group[cut], pa.int64()), pa.array(packed, pa.binary())], ["bucket", "grp", "packed"])
+    def run(key: tuple, docs: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.uint64)]
+        data, offsets = utf8(docs.column("text"))
+        for _, part, ends in chunks(data, offsets):
+            w = _Words(part, ends)
+            h, pos = w.windows(block)
+            short, doc = _short(h, bits), w.doc[pos]
+            order = np.argsort(short, kind="stable")  # documents stay in order in a run
+            short, doc, indexed = short[order], doc[order], ((pos - w.first[doc]) % block == 0)[order]
+            run = _runs(short)
+            if not len(run):
+                continue
+            last = np.append(run[1:], len(short)) - 1
+            entry = short[run] << np.uint64(2)
+            entry |= np.logical_or.reduceat(indexed, run).astype(np.uint64) << np.uint64(1)
+            entry |= (doc[run] != doc[last]).astype(np.uint64)
+            found.append(entry)
+        entry = np.concatenate(found)
+        del found
+        entry.sort()
+        run = _runs(entry >> np.uint64(2))
+        if not len(run):
+            return pa.table({"bucket": pa.array([], pa.int64()), "grp": pa.array([], pa.int64()), "packed": pa.array([], pa.binary())})
+        several = np.diff(np.append(run, len(entry))) > 1  # a chunk has whole documents, and a value once
+        entry = np.bitwise_or.reduceat(entry, run) | several.astype(np.uint64)
+        bucket, entry = (entry >> np.uint64(_FRAGMENT + 2)).astype(np.int64), entry.astype(np.uint32)
+        cut = _runs(bucket)
+        packed = [entry[a:b].tobytes() for a, b in zip(cut, np.append(cut, len(entry))[1:], strict=True)]
+        return pa.table({"bucket": bucket[cut], "grp": pa.array([key[0].as_py()] * len(cut), pa.int64()), "packed": pa.array(packed, pa.binary())})
 
     return run
 
@@ -117,7 +125,7 @@ def _hits(key: tuple, rows: pa.Table) -> pa.Table:
         return pa.table({"bucket": pa.array([], pa.int64()), "grp": pa.array([], pa.int64()), "hits": pa.array([], pa.binary())})
     count = np.diff(np.append(run, len(value)))
     flags = np.bitwise_or.reduceat(entry[order], run)
-    # a group's rows may come from several tasks, and a document's from several groups: then more hits than needed
+    # rows of one doc_id may be in several groups, and count as several documents: then more hits than needed
     hit = ((flags & 2) > 0) & ((count > 1) | ((flags & 1) > 0))
     keep = np.repeat(hit, count)
     g, v = group[row[order[keep]]], value[keep]
@@ -282,7 +290,7 @@ def remove_repeats(documents: DataFrame, window: int = 13) -> DataFrame:
     block = (window + 1) // 2
     named = named.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))  # rows of one doc_id spread, too
     owned = named.filter("text is not null")
-    probes = owned.select("grp", "text").mapInArrow(_probes(block, bits), "bucket long, grp long, packed binary")
+    probes = owned.select("grp", "text").groupBy("grp").applyInArrow(_probes(block, bits), "bucket long, grp long, packed binary")
     hits = stage(probes.groupBy("bucket").applyInArrow(_hits, "bucket long, grp long, hits binary"), "anchors")
     release()
     windows = (

@@ -140,6 +140,33 @@ def test_substring_dedup_with_many_groups(spark, docs, monkeypatch):
     assert many == few and any(r[1] for r in few)
 
 
+def test_substring_dedup_a_group_sends_a_bucket_one_row(docs, monkeypatch):
+    """However a group's documents lie in the input: packets don't multiply with its chunks."""
+    hits = substring_dedup._hits
+
+    def once(key, rows):
+        groups = rows.column("grp").to_pylist()
+        assert len(groups) == len(set(groups))
+        return hits(key, rows)
+
+    want = sorted(map(tuple, substring_dedup.remove_repeats(docs).select("doc_id", "n_removed", "kept_sha256").collect()), key=str)
+    monkeypatch.setattr(substring_dedup, "_hits", once)
+    got = substring_dedup.remove_repeats(docs.repartition(7)).select("doc_id", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == want and any(r[1] for r in want)
+
+
+def test_substring_dedup_across_the_chunks_of_a_group(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "layout", lambda size: (1, 3))
+    rows, passage = [], [f"p{i}" for i in range(13)]
+    for k in range(4):
+        words = [f"d{k}w{i}" for i in range(50_000)]  # a chunk each
+        words[100 + k : 100 + k] = passage
+        rows.append((k, " ".join(words)))
+    assert len(rows[0][1]) > _common.CHUNK_BYTES / 2
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: [tuple(x) for x in r.repeats] for r in got} == {0: [], 1: [(101, 13)], 2: [(102, 13)], 3: [(103, 13)]}
+
+
 def test_layout_keeps_packets_large():
     for size in (0, 1, 10**9, 30 * 10**9, 10**14):
         groups, bits = substring_dedup.layout(size)
