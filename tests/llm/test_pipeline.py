@@ -2,7 +2,7 @@ import pytest
 
 import corpus_pipeline
 
-from factline.llm import decontaminate, jaccard_join, quality
+from factline.llm import decontaminate, jaccard_join, quality, substring_dedup
 
 
 def test_stages_take_effect(spark):
@@ -55,3 +55,18 @@ def test_rows_that_share_a_doc_id_or_have_none(spark, tmp_path, files):
     assert cut == sorted([(5, f"{a} {shared}"), (7, b), (7, c), (None, d)], key=str)
     clean = kept(corpus_pipeline.benchmark_passages, [(1, f"{a} {item}"), (1, good), (None, item), (None, other)])
     assert clean == sorted([(1, good), (None, other)], key=str)
+
+
+def test_repeated_passages_sends_a_row_a_group_and_bucket(spark, monkeypatch):
+    """Not one for each chunk of each task too, which grows much faster than the input."""
+    hits = substring_dedup._hits
+
+    def once(key, rows):
+        groups = rows.column("grp").to_pylist()
+        assert len(groups) == len(set(groups))
+        return hits(key, rows)
+
+    monkeypatch.setattr(substring_dedup, "_hits", once)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = corpus_pipeline.repeated_passages(spark, docs, "/root/testdata/sf0.01")
+    assert 0 < out.count() <= docs.count() and out.filter("n_chars <> length(text)").count() == 0
